@@ -10,18 +10,12 @@ import math
 from collections.abc import Sequence
 from statistics import NormalDist
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsift.functions.columns import c, finite, join_on, lookup_side, pct, per_column
+from flowsift.functions.columns import c, finite, join_on, lookup_side, pct
 from flowsift.operators.quantiles import quantile_bounds, quantiles
 
-#: Column pairs counted with one `corr` each; more columns go through the vector form.
-PAIRWISE_MAX_COLUMNS = 20
-
 
 def _number(name: str) -> Column:
     return finite(c(name).cast("double"))
@@ -230,56 +224,11 @@ def qq_normal(df: DataFrame, name: str, points: int = 99) -> DataFrame:
 
 
 def qq_fit(qq: DataFrame) -> DataFrame:
-    """Least-squares line through the points of `qq_normal`."""
+    """Least-squares line through the points of `qq_normal`, with their correlation (1 for a constant sample)."""
     return qq.groupBy("column").agg(
         F.regr_slope("sample", "theoretical").alias("slope"),
         F.regr_intercept("sample", "theoretical").alias("intercept"),
-        F.corr("sample", "theoretical").alias("r"),
-    )
-
-
-def correlation(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every ordered pair of columns with a position: rows (i, j, x, y, r).
-
-    Up to twenty columns each pair uses the rows where both values are present. With more columns one vector
-    pass is cheaper; it uses the rows where all are present. A constant column gives null.
-    """
-    names = list(names)
-    pairs = [(i, j) for i in range(len(names)) for j in range(i + 1, len(names))]
-    if len(names) <= PAIRWISE_MAX_COLUMNS:
-        upper = F.array(
-            *[
-                F.struct(
-                    F.lit(i).alias("i"),
-                    F.lit(j).alias("j"),
-                    F.corr(_number(names[i]), _number(names[j])).alias("r"),
-                )
-                for i, j in pairs
-            ]
-        )
-        long = df.agg(upper.alias("_u")).select(F.inline("_u"))
-    else:
-        numbers = df.select(*[_number(n).alias(f"_c{k}") for k, n in enumerate(names)])
-        packed = VectorAssembler(
-            inputCols=[f"_c{k}" for k in range(len(names))], outputCol="_v", handleInvalid="skip"
-        ).transform(numbers)
-        matrix = Correlation.corr(packed, "_v").first()[0].toArray()
-        rows = [(i, j, float(matrix[i, j])) for i, j in pairs]
-        long = df.sparkSession.createDataFrame(rows, "i int, j int, r double")
-    name_at = F.array(*[F.lit(n) for n in names])
-    r = F.when(~F.isnan("r"), F.col("r"))
-    both = long.select(
-        F.inline(
-            F.array(
-                F.struct("i", "j", r.alias("r")), F.struct(F.col("j").alias("i"), F.col("i").alias("j"), r.alias("r"))
-            )
-        )
-    )
-    diagonal = df.sparkSession.range(len(names)).select(
-        F.col("id").cast("int").alias("i"), F.col("id").cast("int").alias("j"), F.lit(1.0).alias("r")
-    )
-    return both.unionByName(diagonal).select(
-        "i", "j", F.element_at(name_at, F.col("i") + 1).alias("x"), F.element_at(name_at, F.col("j") + 1).alias("y"), "r"
+        (F.signum(F.covar_samp("sample", "theoretical")) * F.sqrt(F.regr_r2("sample", "theoretical"))).alias("r"),
     )
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsift.functions.columns import c, finite, number_or_zero, per_column
-from flowsift.operators.distribution import PAIRWISE_MAX_COLUMNS, correlation, high_pairs
+from flowsift.functions.columns import c, number_or_zero, per_column
+from flowsift.operators.distribution import high_pairs
+from flowsift.operators.moments import correlation, gram
 
 CORRELATION_LIMIT, VIF_LIMIT, VARIANCE_SHARE = 0.95, 10.0, 0.95
 
@@ -190,39 +191,6 @@ def anova_f(df: DataFrame, names: Sequence[str], label: str = "Label", fill_zero
     ).orderBy(F.desc_nulls_last("f_score"), "feature")
 
 
-def gram(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Σ xᵢ·xⱼ over rows where all columns are present: rows (i, j, g), upper triangle.
-
-    Up to twenty columns these are plain sums. With more, each task multiplies its Arrow batches and only
-    one triangle per task is shuffled.
-    """
-    names = list(names)
-    numbers = df.select(*[finite(c(n).cast("double")).alias(f"_c{i}") for i, n in enumerate(names)]).dropna()
-    k = len(names)
-    if k <= PAIRWISE_MAX_COLUMNS:
-        cells = [
-            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.sum(F.col(f"_c{i}") * F.col(f"_c{j}")).alias("g"))
-            for i in range(k)
-            for j in range(i, k)
-        ]
-        return numbers.agg(F.array(*cells).alias("_g")).select(F.inline("_g"))
-
-    upper = np.triu_indices(k)
-
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((k, k))
-        for batch in batches:
-            block = np.column_stack([col.to_numpy(zero_copy_only=False) for col in batch.columns])
-            total += block.T @ block
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(upper[0].astype("int32")), pa.array(upper[1].astype("int32")), pa.array(total[upper])],
-            names=["i", "j", "g"],
-        )
-
-    parts = numbers.mapInArrow(partial, "i int, j int, g double")
-    return parts.groupBy("i", "j").agg(F.sum("g").alias("g"))
-
-
 def vif(df: DataFrame, names: Sequence[str], limit: float = VIF_LIMIT) -> DataFrame:
     """Variance inflation without intercept: Gᵢᵢ·(G⁻¹)ᵢᵢ of the Gram matrix, highest first.
 
