@@ -141,9 +141,10 @@ def runlog(spark: SparkSession, folder: str) -> DataFrame:
     """One model per supplier; line number n stands for 4·2ⁿ threads and n quarters of the data."""
     lines = table(spark, folder, "lineitem").filter(F.col("l_linenumber") <= 4)
     n = F.col("l_linenumber")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     return (
         lines.groupBy(F.col("l_suppkey").alias("model"), n)
-        .agg(F.round(F.avg("l_extendedprice") / F.first(n), 4).alias("time"))
+        .agg((F.sum(cents) / F.count(F.lit(1)) / 100 / F.first(n)).alias("time"))
         .select(
             "model",
             (4 * F.pow(F.lit(2.0), n)).cast("int").alias("n_threads"),
@@ -235,7 +236,7 @@ both_models AS (
 RUNLOG_SQL = """
 runlog AS (
   SELECT l_suppkey AS model, (4 * pow(2, l_linenumber))::INT AS n_threads, l_linenumber / 4.0::DOUBLE AS frac,
-         round(avg(l_extendedprice) / l_linenumber, 4) AS time
+         sum(round(l_extendedprice * 100)::BIGINT)::DOUBLE / count(*) / 100 / l_linenumber AS time
   FROM lineitem WHERE l_linenumber <= 4 GROUP BY l_suppkey, l_linenumber)"""
 
 
