@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,16 +92,20 @@ def per_column(
     return df.groupBy(*[c(b) for b in by]).agg(rows.alias("_rows")).select(*[c(b) for b in by], F.inline("_rows"))
 
 
+def fetch_small(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> pa.Table | None:
+    """All rows of a small aggregate, or None if it has more than `max_rows` (one more is fetched to tell)."""
+    table = df.limit(max_rows + 1).toArrow()
+    return table if table.num_rows <= max_rows else None
+
+
 def lookup_side(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:
     """Make a small aggregate ready to be joined to a big table.
 
-    At most `max_rows` + 1 rows are fetched. If the frame fits, its size is proven and it comes back as a
-    local relation to broadcast; if not, the lazy frame itself comes back and Spark shuffles the join.
+    If the frame fits `max_rows`, its size is proven and it comes back as a local relation to broadcast; if not,
+    the lazy frame itself comes back and Spark shuffles the join.
     """
-    table = df.limit(max_rows + 1).toArrow()
-    if table.num_rows > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
+    table = fetch_small(df, max_rows)
+    return df if table is None else F.broadcast(df.sparkSession.createDataFrame(table, df.schema))
 
 
 def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:

@@ -113,7 +113,7 @@ def histogram_trimmed(df: DataFrame, name: str, low: float = 0.005, high: float
 def density(df: DataFrame, name: str, bins: int = 512, grid: int = 1000, by: str | None = None, min_rows: int = 2):
     """Gaussian kernel density on an even grid, Scott's bandwidth, from binned data.
 
-    Each kernel sits on a bin centre and is weighted with the bin's rows, so the cost is bins × grid whatever the
+    Each kernel sits on the mean of a bin's rows and is weighted with their number, so the cost is bins × grid whatever the
     table. The grid reaches half the range beyond both ends. Groups with fewer than `min_rows` rows are left out.
     """
     keys = [by] if by else []
@@ -138,13 +138,12 @@ def density(df: DataFrame, name: str, bins: int = 512, grid: int = 1000, by: str
     shape = ["_n", "_lo", "_hi", "_sd"]
     cells = joined.groupBy(
         *[c(k) for k in keys], *shape, _bin_of(F.col("_v"), F.col("_lo"), F.col("_hi"), bins).alias("_b")
-    ).agg(F.count(F.lit(1)).alias("_m"))
+    ).agg(F.count(F.lit(1)).alias("_m"), F.avg("_v").alias("_mean"))
     span = F.col("_hi") - F.col("_lo")
-    centre = F.col("_lo") + (F.col("_b") + 0.5) * span / bins
     point = F.col("_lo") - span * 0.5 + F.col("point") * (span * 2) / (grid - 1)
     width = F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
     spread_out = cells.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-    kernel = F.exp(-0.5 * F.pow((point - centre) / width, F.lit(2.0)))
+    kernel = F.exp(-0.5 * F.pow((point - F.col("_mean")) / width, F.lit(2.0)))
     weight = F.col("_m") * kernel / (F.col("_n") * width * math.sqrt(2 * math.pi))
     return spread_out.groupBy(*[c(k) for k in keys], "point", point.alias("x")).agg(F.sum(weight).alias("density"))
 

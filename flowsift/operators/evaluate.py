@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsift.functions.columns import c, lookup_side, pct
+from flowsift.session import materialize
 
 #: Ranges of scores that are ranked apart from each other.
 SCORE_RANGES = 256
@@ -145,8 +146,9 @@ def ranked_scores(long: DataFrame, digits: int | None = None, ranges: int = SCOR
 
     Scores are cut into ranges of about equal size. Rows are ranked inside a range and start from the totals of
     the ranges above it, so no task holds all scores of a class. `digits` rounds the scores first if wanted.
+    The points, far fewer than the predictions, are written once, because they are read three times.
     """
-    points = _score_points(long, digits)
+    points = materialize(_score_points(long, digits), "scores")
     marks = points.agg(F.approx_percentile("score", [i / ranges for i in range(1, ranges)], 10_000)).first()[0] or []
     edges = [-math.inf, *sorted(set(marks)), math.inf]
     if len(edges) < 3:

@@ -7,17 +7,20 @@ them. What is sorted in the end is a tiny share of the column, and the answer is
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsift.functions.columns import c, join_on, lookup_side
+from flowsift.functions.columns import c, fetch_small, join_on
 
 #: Sketch accuracies; the finer one is used for columns too long for the first.
 COARSE, FINE = 10_000, 1_000_000
 _FINE_FROM_ROWS = 10_000_000_000
+#: Up to so many quantiles the bracket edges are compared one by one in generated code.
+UNROLLED_PROBS = 4
 
 
 def _number(name: str) -> Column:
@@ -25,26 +28,32 @@ def _number(name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _brackets(df: DataFrame, names: Sequence[str], probs: Sequence[float], by: Sequence[str], accuracy: int):
-    margin = 2.0 / accuracy
+def _brackets(df: DataFrame, names: Sequence[str], probs: Sequence[float], by: Sequence[str], accuracy: int) -> DataFrame:
+    """Per group: count `_n` and bracket edges `_e` (lower ones, then upper ones) of each column.
+
+    The sketch is off by at most n / accuracy ranks and the margin is twice that. A group too short for the
+    margin to hold the neighbours of a rank as well is bracketed whole.
+    """
+    margin, m = 2.0 / accuracy, len(probs)
     wanted = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    whole = F.array(*[F.lit(-math.inf)] * m, *[F.lit(math.inf)] * m)
     aggs = []
     for i, name in enumerate(names):
         aggs.append(F.count(_number(name)).alias(f"_n{i}"))
-        aggs.append(F.approx_percentile(_number(name), wanted, accuracy).alias(f"_e{i}"))
-    return df.groupBy(*[c(b) for b in by]).agg(*aggs)
+        aggs.append(F.approx_percentile(_number(name), wanted, accuracy).alias(f"_s{i}"))
+    sketched = df.groupBy(*[c(b) for b in by]).agg(*aggs)
+    edges = {f"_e{i}": F.when(F.col(f"_n{i}") > 4 * accuracy, F.col(f"_s{i}")).otherwise(whole) for i in range(len(names))}
+    return sketched.withColumns(edges).drop(*[f"_s{i}" for i in range(len(names))])
 
 
-def _segment(value: Column, edges: Sequence[Column]) -> tuple[Column, Column]:
-    """Segment number of a value, and the value itself if it lies inside a bracket.
-
-    Lower and upper edges both rise, so the number of lower edges reached minus the number of upper edges
-    passed is positive exactly inside a bracket, and their sum orders the segments.
-    """
-    half = len(edges) // 2
-    reached = reduce(lambda a, b: a + b, [F.coalesce((value >= e).cast("int"), F.lit(0)) for e in edges[:half]])
-    passed = reduce(lambda a, b: a + b, [F.coalesce((value > e).cast("int"), F.lit(0)) for e in edges[half:]])
-    return reached + passed, F.when(reached > passed, value)
+def _edges_below(edges: Sequence[Column], arrays: tuple[Column, Column], value: Column) -> tuple[Column, Column]:
+    """Lower edges reached and upper edges passed by a value: plain comparisons if few, an array scan if many."""
+    m = len(edges) // 2
+    if m > UNROLLED_PROBS:
+        return F.size(F.filter(arrays[0], lambda e: e <= value)), F.size(F.filter(arrays[1], lambda e: e < value))
+    reached = [F.when(e <= value, 1).otherwise(0) for e in edges[:m]]
+    passed = [F.when(e < value, 1).otherwise(0) for e in edges[m:]]
+    return reduce(lambda a, b: a + b, reached), reduce(lambda a, b: a + b, passed)
 
 
 def quantiles(
@@ -65,32 +74,45 @@ def quantiles(
     m = len(ps)
     slim = df.select(*[c(b) for b in by], *[c(n) for n in names])
 
-    def sketch(acc: int) -> DataFrame:
-        return lookup_side(_brackets(slim, names, ps, by, acc))
-
-    side = sketch(accuracy or COARSE)
-    if accuracy is None:
-        longest = side.agg(F.max(F.greatest(*[F.col(f"_n{i}") for i in range(len(names))], F.lit(0)))).first()[0]
-        if (longest or 0) > _FINE_FROM_ROWS:
-            side = sketch(FINE)
+    def too_long(counts) -> bool:
+        return accuracy is None and max((n or 0 for n in counts), default=0) > _FINE_FROM_ROWS
 
+    counts = [f"_n{i}" for i in range(len(names))]
+    brackets = _brackets(slim, names, ps, by, accuracy or COARSE)
     if by:
+        small = fetch_small(brackets)
+        if small is not None and too_long(v for n in counts for v in small.column(n).to_pylist()):
+            brackets = _brackets(slim, names, ps, by, FINE)
+            small = fetch_small(brackets)
+        side = brackets if small is None else F.broadcast(df.sparkSession.createDataFrame(small, brackets.schema))
         joined = join_on(slim, side, by)
-        edges = [[F.col(f"_e{i}")[k] for k in range(2 * m)] for i in range(len(names))]
+        edges = [[F.get(F.col(f"_e{i}"), k) for k in range(2 * m)] for i in range(len(names))]
+        arrays = [(F.slice(f"_e{i}", 1, m), F.slice(f"_e{i}", m + 1, m)) for i in range(len(names))]
     else:
-        joined = slim
-        row = side.first()
-        edges = [[F.lit(v).cast("double") for v in (row[f"_e{i}"] or [None] * (2 * m))] for i in range(len(names))]
-
+        joined, row = slim, brackets.first()
+        if too_long(row[n] for n in counts):
+            row = _brackets(slim, names, ps, by, FINE).first()
+        edges = [[F.lit(v).cast("double") for v in row[f"_e{i}"]] for i in range(len(names))]
+        arrays = [(F.array(*e[:m]), F.array(*e[m:])) for e in edges]
+
+    # Lower and upper edges both rise: more lower edges reached than upper edges passed means inside a bracket,
+    # and the sum of both orders the segments.
     cells = []
     for i, name in enumerate(names):
         value = _number(name)
-        seg, key = _segment(value, edges[i])
-        cells.append(F.struct(F.lit(i).alias("_i"), F.when(value.isNotNull(), seg).alias("_seg"), key.alias("_key")))
+        reached, passed = _edges_below(edges[i], arrays[i], value)
+        cells.append(
+            F.struct(F.lit(i).alias("_i"), value.alias("_v"), reached.alias("_reached"), passed.alias("_passed"))
+        )
     counted = (
         joined.select(*[c(b) for b in by], F.inline(F.array(*cells)))
-        .filter(F.col("_seg").isNotNull())
-        .groupBy(*[c(b) for b in by], "_i", "_seg", "_key")
+        .filter(F.col("_v").isNotNull())
+        .groupBy(
+            *[c(b) for b in by],
+            "_i",
+            (F.col("_reached") + F.col("_passed")).alias("_seg"),
+            F.when(F.col("_reached") > F.col("_passed"), F.col("_v")).alias("_key"),
+        )
         .agg(F.count(F.lit(1)).alias("_m"))
     )
     group = Window.partitionBy(*[c(b) for b in by], "_i")

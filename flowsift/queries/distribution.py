@@ -45,10 +45,10 @@ def _kde_sql(source: str, by: str = "") -> str:
     using = f'USING ("{by}")' if by else "ON true"
     return f"""
     , m AS (SELECT {key}count(*) AS n, min(price) AS lo, max(price) AS hi, stddev_samp(price) AS sd FROM {source} {group}),
-    cells AS (SELECT {key}n, lo, hi, sd, least(floor((price - lo) / ((hi - lo) / {_BINS}))::INT, {_BINS - 1}) AS b, count(*) AS k
+    cells AS (SELECT {key}n, lo, hi, sd, least(floor((price - lo) / ((hi - lo) / {_BINS}))::INT, {_BINS - 1}) AS b, count(*) AS k, avg(price) AS c
               FROM {source} JOIN m {using} GROUP BY ALL),
     g AS (SELECT {key}range::INT AS point, lo - (hi - lo) * 0.5::DOUBLE + range * (hi - lo) * 2 / {_GRID - 1} AS x,
-            k, n, sd * pow(n, -0.2::DOUBLE) AS w, lo + (b + 0.5::DOUBLE) * (hi - lo) / {_BINS} AS c FROM cells, range({_GRID}))
+            k, n, sd * pow(n, -0.2::DOUBLE) AS w, c FROM cells, range({_GRID}))
     SELECT {key}point, round(x, 4) AS x, round(sum(k * exp(-0.5::DOUBLE * pow((x - c) / w, 2)) / (n * w * sqrt(2 * pi()))), 11) AS density
     FROM g GROUP BY {key}point, x"""
 
