@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsift.functions.columns import c, finite, float_columns, numeric_columns
@@ -28,6 +28,12 @@ def nonfinite_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({n: finite(c(n)) for n in float_columns(df)})
 
 
+def floats_present(df: DataFrame) -> Column:
+    """True where no float column is null, NaN or infinite."""
+    tests = [finite(c(n)).isNotNull() for n in float_columns(df)]
+    return reduce(lambda a, b: a & b, tests, F.lit(True))
+
+
 def drop_null_floats(df: DataFrame) -> DataFrame:
     """Rows with a null or NaN in a float column go; nulls in whole-number columns stay."""
     return reduce(lambda d, n: d.filter(c(n).isNotNull() & ~F.isnan(c(n))), float_columns(df), df)

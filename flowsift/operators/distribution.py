@@ -10,11 +10,12 @@ import math
 from collections.abc import Sequence
 from statistics import NormalDist
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsift.functions.columns import c, finite, join_on, lookup_side, pct
-from flowsift.operators.quantiles import quantile_bounds, quantiles
+from flowsift.operators.quantiles import quantile_bounds, quantiles, quantiles_long
 
 
 def _number(name: str) -> Column:
@@ -211,15 +212,11 @@ def normal_positions(points: int) -> list[tuple[float, float]]:
 
 def qq_normal(df: DataFrame, name: str, points: int = 99) -> DataFrame:
     """Exact sample quantiles of the whole column against normal quantiles at the same positions."""
-    positions = normal_positions(points)
-    wide = quantiles(df, [name], {f"_q{i}": p for i, (p, _) in enumerate(positions)})
-    rows = [
-        F.struct(
-            F.lit(i).alias("point"), F.lit(p).alias("prob"), F.lit(z).alias("theoretical"), F.col(f"_q{i}").alias("sample")
-        )
-        for i, (p, z) in enumerate(positions)
-    ]
-    return wide.select("column", F.inline(F.array(*rows)))
+    probs, normal = zip(*normal_positions(points))
+    z = F.element_at(F.lit(np.array(normal)), F.col("pos") + 1)
+    return quantiles_long(df, [name], probs).select(
+        "column", F.col("pos").alias("point"), "prob", z.alias("theoretical"), F.col("value").alias("sample")
+    )
 
 
 def qq_fit(qq: DataFrame) -> DataFrame:

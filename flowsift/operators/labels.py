@@ -65,14 +65,14 @@ VALID, INVALID, MISSING = "valid", "invalid", "missing"
 
 @dataclass(frozen=True)
 class LabelCatalogue:
-    """Closed list of class names plus known variants. Both are held by the caller, hence small."""
+    """Closed list of class names plus known variants of them."""
 
     names: Sequence[str] = CLASS_NAMES
     variants: Mapping[str, str] = field(default_factory=lambda: dict(KNOWN_VARIANTS))
 
     def lookup(self, spark: SparkSession, rows: Mapping[str, str], key: str, value: str) -> DataFrame:
-        table = pa.table({key: list(rows.keys()), value: list(rows.values())})
-        return F.broadcast(spark.createDataFrame(table))
+        """A local relation: Spark knows its size, broadcasts it below its threshold and shuffles beyond."""
+        return spark.createDataFrame(pa.table({key: list(rows.keys()), value: list(rows.values())}))
 
     def by_case(self, spark: SparkSession) -> DataFrame:
         return self.lookup(spark, {n.lower(): n for n in self.names}, "_case_key", "_case_name")

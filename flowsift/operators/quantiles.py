@@ -11,13 +11,14 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.functions.columns import c, fetch_small, join_on
 
 #: Sketch accuracies; the finer one is used for columns too long for the first.
-COARSE, FINE = 10_000, 1_000_000
+COARSE, FINE = 10_000, 200_000
 _FINE_FROM_ROWS = 10_000_000_000
 #: Up to so many quantiles the bracket edges are compared one by one in generated code.
 UNROLLED_PROBS = 4
@@ -46,9 +47,8 @@ def _brackets(df: DataFrame, names: Sequence[str], probs: Sequence[float], by: S
     return sketched.withColumns(edges).drop(*[f"_s{i}" for i in range(len(names))])
 
 
-def _edges_below(edges: Sequence[Column], arrays: tuple[Column, Column], value: Column) -> tuple[Column, Column]:
+def _edges_below(m: int, edges: Sequence[Column], arrays: tuple[Column, Column], value: Column) -> tuple[Column, Column]:
     """Lower edges reached and upper edges passed by a value: plain comparisons if few, an array scan if many."""
-    m = len(edges) // 2
     if m > UNROLLED_PROBS:
         return F.size(F.filter(arrays[0], lambda e: e <= value)), F.size(F.filter(arrays[1], lambda e: e < value))
     reached = [F.when(e <= value, 1).otherwise(0) for e in edges[:m]]
@@ -56,21 +56,41 @@ def _edges_below(edges: Sequence[Column], arrays: tuple[Column, Column], value:
     return reduce(lambda a, b: a + b, reached), reduce(lambda a, b: a + b, passed)
 
 
-def quantiles(
+def _rank(counted: DataFrame, keys: Sequence[str], by_segment: bool) -> DataFrame:
+    """Running row count `_end` up to each value and the total `_all` of its group.
+
+    With many brackets each is summed up on its own, starting from the total of the segments before it.
+    """
+    group = Window.partitionBy(*[c(k) for k in keys])
+    so_far = (Window.unboundedPreceding, Window.currentRow)
+    if not by_segment:
+        running = group.orderBy("_seg", "_key").rowsBetween(*so_far)
+        return counted.withColumn("_end", F.sum("_m").over(running)).withColumn("_all", F.sum("_m").over(group))
+    totals = counted.groupBy(*[c(k) for k in keys], "_seg").agg(F.sum("_m").alias("_t"))
+    offsets = totals.select(
+        *[c(k) for k in keys],
+        "_seg",
+        (F.sum("_t").over(group.orderBy("_seg").rowsBetween(*so_far)) - F.col("_t")).alias("_start"),
+        F.sum("_t").over(group).alias("_all"),
+    )
+    inside = Window.partitionBy(*[c(k) for k in keys], "_seg").orderBy("_key").rowsBetween(*so_far)
+    joined = join_on(counted, offsets, [*keys, "_seg"])
+    return joined.withColumn("_end", F.col("_start") + F.sum("_m").over(inside))
+
+
+def quantiles_long(
     df: DataFrame,
     names: Sequence[str],
-    probs: Mapping[str, float],
+    probs: Sequence[float],
     by: Sequence[str] = (),
     accuracy: int | None = None,
 ) -> DataFrame:
-    """Linearly interpolated quantiles: one row per group and column, one output column per entry of `probs`.
+    """Linearly interpolated quantiles, one row per group, column and entry of `probs` (`pos` is its place).
 
-    Null and NaN are left out. Result columns: `by`, `column`, `n`, then the names in `probs`.
+    Null and NaN are left out. Result columns: `by`, `column`, `n`, `pos`, `prob`, `value`.
     """
-    labels = list(probs)
-    order = sorted(range(len(labels)), key=lambda j: probs[labels[j]])
-    labels = [labels[j] for j in order]
-    ps = [float(probs[label]) for label in labels]
+    order = sorted(range(len(probs)), key=lambda k: probs[k])
+    ps = [float(probs[k]) for k in order]
     m = len(ps)
     slim = df.select(*[c(b) for b in by], *[c(n) for n in names])
 
@@ -86,21 +106,22 @@ def quantiles(
             small = fetch_small(brackets)
         side = brackets if small is None else F.broadcast(df.sparkSession.createDataFrame(small, brackets.schema))
         joined = join_on(slim, side, by)
-        edges = [[F.get(F.col(f"_e{i}"), k) for k in range(2 * m)] for i in range(len(names))]
+        unrolled = range(2 * m) if m <= UNROLLED_PROBS else ()
+        edges = [[F.get(F.col(f"_e{i}"), k) for k in unrolled] for i in range(len(names))]
         arrays = [(F.slice(f"_e{i}", 1, m), F.slice(f"_e{i}", m + 1, m)) for i in range(len(names))]
     else:
         joined, row = slim, brackets.first()
         if too_long(row[n] for n in counts):
             row = _brackets(slim, names, ps, by, FINE).first()
-        edges = [[F.lit(v).cast("double") for v in row[f"_e{i}"]] for i in range(len(names))]
-        arrays = [(F.array(*e[:m]), F.array(*e[m:])) for e in edges]
+        edges = [[F.lit(v) for v in row[f"_e{i}"]] if m <= UNROLLED_PROBS else [] for i in range(len(names))]
+        arrays = [tuple(_doubles(half) for half in (row[f"_e{i}"][:m], row[f"_e{i}"][m:])) for i in range(len(names))]
 
     # Lower and upper edges both rise: more lower edges reached than upper edges passed means inside a bracket,
     # and the sum of both orders the segments.
     cells = []
     for i, name in enumerate(names):
         value = _number(name)
-        reached, passed = _edges_below(edges[i], arrays[i], value)
+        reached, passed = _edges_below(m, edges[i], arrays[i], value)
         cells.append(
             F.struct(F.lit(i).alias("_i"), value.alias("_v"), reached.alias("_reached"), passed.alias("_passed"))
         )
@@ -115,29 +136,51 @@ def quantiles(
         )
         .agg(F.count(F.lit(1)).alias("_m"))
     )
-    group = Window.partitionBy(*[c(b) for b in by], "_i")
-    running = group.orderBy("_seg", "_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counted.withColumn("_end", F.sum("_m").over(running)).withColumn("_all", F.sum("_m").over(group))
-
-    aggs = [F.max("_all").alias("n")]
-    for j, p in enumerate(ps):
-        position = F.lit(p) * (F.col("_all") - 1)
-        for tag, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            here = (F.col("_end") - F.col("_m") <= rank) & (rank < F.col("_end"))
-            aggs.append(F.max(F.when(here, F.col("_key"))).alias(f"_{tag}{j}"))
-    picked = ranked.groupBy(*[c(b) for b in by], "_i").agg(*aggs)
-
-    column_name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_i") + 1).alias("column")
-    outs = []
-    for j, (label, p) in enumerate(zip(labels, ps)):
-        position = F.lit(p) * (F.col("n") - 1)
-        lo, hi = F.col(f"_lo{j}"), F.col(f"_hi{j}")
-        missed = F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")
-        value = F.when(lo.isNull() | hi.isNull(), missed).when(lo == hi, lo).otherwise(
-            lo + (hi - lo) * (position - F.floor(position))
-        )
-        outs.append(value.alias(label))
-    return picked.select(*[c(b) for b in by], column_name, "n", *outs)
+    ranked = _rank(counted, [*by, "_i"], by_segment=m > UNROLLED_PROBS)
+
+    # A row of `ranked` covers the ranks from _end - _m to _end - 1; keep it for the quantiles that need one of them.
+    below, above = (lambda p: F.floor(p * (F.col("_all") - 1))), (lambda p: F.ceil(p * (F.col("_all") - 1)))
+    first = F.col("_end") - F.col("_m")
+    needed = F.filter(_doubles(ps), lambda p: (below(p) < F.col("_end")) & (above(p) >= first))
+    hits = ranked.select("*", F.explode(needed).alias("prob"))
+    at = F.col("prob")
+    picked = hits.groupBy(*[c(b) for b in by], "_i", "prob").agg(
+        F.max("_all").alias("n"),
+        F.max(F.when((first <= below(at)) & (below(at) < F.col("_end")), F.col("_key"))).alias("_lo"),
+        F.max(F.when((first <= above(at)) & (above(at) < F.col("_end")), F.col("_key"))).alias("_hi"),
+    )
+    lo, hi, position = F.col("_lo"), F.col("_hi"), at * (F.col("n") - 1)
+    missed = F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")
+    value = (
+        F.when(lo.isNull() | hi.isNull(), missed)
+        .when(lo == hi, lo)
+        .otherwise(lo + (hi - lo) * (position - F.floor(position)))
+    )
+    place = F.element_at(F.lit(np.array(order, dtype="int32")), F.array_position(_doubles(ps), at).cast("int"))
+    column = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_i") + 1)
+    return picked.select(
+        *[c(b) for b in by], column.alias("column"), "n", place.alias("pos"), "prob", value.alias("value")
+    )
+
+
+def _doubles(values: Sequence[float]) -> Column:
+    return F.lit(np.array(values, dtype="float64"))
+
+
+def quantiles(
+    df: DataFrame,
+    names: Sequence[str],
+    probs: Mapping[str, float],
+    by: Sequence[str] = (),
+    accuracy: int | None = None,
+) -> DataFrame:
+    """`quantiles_long` with one row per group and column, and one output column per entry of `probs`."""
+    distinct = sorted(set(probs.values()))
+    long = quantiles_long(df, names, distinct, by, accuracy)
+    wide = long.groupBy(*[c(b) for b in by], "column").agg(
+        F.max("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("pos", "value"))).alias("_q")
+    )
+    return wide.select(*[c(b) for b in by], "column", "n", *[F.col("_q")[distinct.index(p)].alias(k) for k, p in probs.items()])
 
 
 def quantile_bounds(df: DataFrame, name: str, low: float, high: float) -> tuple[float, float]:

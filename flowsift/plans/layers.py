@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsift.functions.columns import numeric_columns, rename_like
+from flowsift.functions.columns import numeric_columns, pct, rename_like
 from flowsift.operators import clean, features, labels, temporal
 from flowsift.operators.labels import DEFAULT, LabelCatalogue
 from flowsift.sources.readers import read_csv
@@ -49,7 +50,52 @@ def silver_stages(bronze: DataFrame, ids: Sequence[str] = clean.ID_COLUMNS) -> l
 
 
 def to_silver(bronze: DataFrame, ids: Sequence[str] = clean.ID_COLUMNS) -> DataFrame:
-    return silver_stages(bronze, ids)[-1][1]
+    """All stages. Copies of a row change no minimum or maximum, so the constant columns are found without
+    deduplicating first: the look costs one scan and the rows are shuffled once."""
+    slim = clean.drop_ids(bronze, ids)
+
+    def rows(df: DataFrame) -> DataFrame:
+        return df.transform(clean.finite_rows).transform(clean.drop_bad_times)
+
+    constant = clean.find_constant(clean.clip_negatives(rows(slim)))
+    return clean.clip_negatives(rows(clean.deduplicate(slim))).drop(*constant)
+
+
+def silver_report(bronze: DataFrame, ids: Sequence[str] = clean.ID_COLUMNS) -> DataFrame:
+    """Rows and columns after each stage as in `audit.stage_report`, but counted together.
+
+    Deduplication is the only stage with a shuffle and runs once; the filters after it become conditional counts.
+    """
+    slim = clean.drop_ids(bronze, ids)
+    finite = clean.floats_present(slim)
+    timely = finite & temporal.valid_time(F.col("Timestamp")) if "Timestamp" in slim.columns else finite
+    all_rows = bronze.agg(F.count(F.lit(1))).scalar()
+    counts = clean.deduplicate(slim).agg(
+        F.count(F.lit(1)).alias("_unique"), F.count_if(finite).alias("_finite"), F.count_if(timely).alias("_timely")
+    )
+    width = len(slim.columns)
+    left = width - len(clean.find_constant(clean.clip_negatives(slim.filter(timely))))
+    rows = [
+        ("bronze", all_rows, all_rows, len(bronze.columns)),
+        ("drop_ids", all_rows, all_rows, width),
+        ("deduplicate", all_rows, F.col("_unique"), width),
+        ("finite_rows", F.col("_unique"), F.col("_finite"), width),
+        ("valid_times", F.col("_finite"), F.col("_timely"), width),
+        ("clip_negatives", F.col("_timely"), F.col("_timely"), width),
+        ("drop_constant", F.col("_timely"), F.col("_timely"), left),
+    ]
+    cells = [
+        F.struct(
+            F.lit(i).alias("stage_no"),
+            F.lit(name).alias("stage"),
+            after.alias("n_rows"),
+            F.lit(columns).alias("n_columns"),
+            (before - after).alias("rows_removed"),
+            F.coalesce(pct(before - after, before), F.lit(0.0)).alias("pct_removed"),
+        )
+        for i, (name, before, after, columns) in enumerate(rows)
+    ]
+    return counts.select(F.inline(F.array(*cells)))
 
 
 def to_gold(silver: DataFrame, threshold: float = features.CORRELATION_LIMIT) -> tuple[DataFrame, list[str]]:

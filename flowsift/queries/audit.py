@@ -2,7 +2,7 @@
 
 from flowsift.functions.columns import numeric_columns
 from flowsift.operators import audit, clean
-from flowsift.plans.layers import silver_stages
+from flowsift.plans.layers import silver_report
 from flowsift.queries.labels import STAGED_SQL, repaired
 from flowsift.queries.registry import query, rounded, table
 from flowsift.queries.views import FEAT_SQL, FLOWS_DUP_SQL, FLOWS_SQL, feat, flows, flows_dup, over
@@ -207,7 +207,24 @@ _WIDTH = [7, 6, 6, 6, 6, 6, 5]
     ),
 )
 def audit_stage_report(spark, folder):
-    return audit.stage_report(silver_stages(flows_dup(spark, folder).drop("source_file")))
+    return silver_report(flows_dup(spark, folder).drop("source_file"))
+
+
+@query(
+    "audit_stage_counts",
+    over(
+        FLOWS_SQL,
+        """, a AS (SELECT count(*) AS x, count_if(isfinite("Flow Byts/s")) AS y,
+             count_if(isfinite("Flow Byts/s") AND year(try_strptime("Timestamp", '%d/%m/%Y %H:%M:%S')) >= 2000) AS z FROM flows)
+        SELECT 0::INT AS stage_no, 'flows' AS stage, x AS n_rows, 9::INT AS n_columns, 0::BIGINT AS rows_removed, 0.0::DOUBLE AS pct_removed FROM a
+        UNION ALL SELECT 1, 'finite', y::BIGINT, 9, (x - y)::BIGINT, round((x - y) * 100.0::DOUBLE / x, 2) FROM a
+        UNION ALL SELECT 2, 'timely', z::BIGINT, 9, (y - z)::BIGINT, round((y - z) * 100.0::DOUBLE / y, 2) FROM a""",
+    ),
+)
+def audit_stage_counts(spark, folder):
+    rows = flows(spark, folder)
+    finite = clean.finite_rows(rows)
+    return audit.stage_report([("flows", rows), ("finite", finite), ("timely", clean.drop_bad_times(finite))])
 
 
 @query(

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from flowsift.functions.columns import find_column, join_on, lookup_side, numeric_columns, rename_like
 from flowsift.operators import audit, clean, temporal
-from flowsift.plans.layers import silver_stages, to_silver
+from flowsift.plans.layers import silver_report, silver_stages, to_silver
 
 NAN, INF = math.nan, math.inf
 SCHEMA = "id int, `Flow Byts/s` double, `a.b` double, win int, Timestamp string, Label string, `Src IP` string"
@@ -33,6 +33,8 @@ def test_silver_order(raw):
     assert [r["n_rows"] for r in report] == [9, 9, 8, 5, 3, 3, 3]
     assert [r["rows_removed"] for r in report] == [0, 0, 1, 3, 2, 0, 0]
     assert "a.b" not in stages[-1][1].columns
+    assert sorted(map(str, to_silver(raw).collect())) == sorted(map(str, stages[-1][1].collect()))
+    assert sorted(map(str, silver_report(raw).collect())) == sorted(map(str, report))
 
 
 def test_clip_keeps_null_and_takes_the_sentinel(raw):
