@@ -22,10 +22,11 @@ def feat_label_index(spark, folder):
     return features.label_index(feat(spark, folder), "rarity").select(*KEYS, "label_index")
 
 
-@query("feat_assemble", over(FEAT_SQL, f"SELECT {_SLIM}, [quantity, discount, tax] AS features FROM feat"))
+@query("feat_assemble", over(FEAT_SQL, f"SELECT {_SLIM}, quantity AS f0, discount AS f1, tax AS f2 FROM feat"))
 def feat_assemble(spark, folder):
     packed = features.assemble(feat(spark, folder), ["quantity", "discount", "tax"])
-    return packed.select(*KEYS, vector_to_array("features").alias("features"))
+    values = vector_to_array("features")
+    return packed.select(*KEYS, *[values[i].alias(f"f{i}") for i in range(3)])
 
 
 _Z = ["quantity", "price", "discount"]
