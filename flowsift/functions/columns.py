@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 FLOAT_TYPES = (T.DoubleType, T.FloatType)
 NUMERIC_TYPES = (T.DoubleType, T.FloatType, T.IntegerType, T.LongType)
 
-#: Rows a lookup side may have before it stops being collected and broadcast.
+#: Rows and bytes a lookup side may have before it stops being collected and broadcast.
 LOOKUP_MAX_ROWS = 10_000
+LOOKUP_MAX_BYTES = 32 * 1024 * 1024
 
 
 def quoted(name: str) -> str:
@@ -93,9 +94,10 @@ def per_column(
 
 
 def fetch_small(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> pa.Table | None:
-    """All rows of a small aggregate, or None if it has more than `max_rows` (one more is fetched to tell)."""
+    """All rows of a small aggregate, or None if they are too many (one more than `max_rows` is fetched to tell)
+    or too wide to be broadcast."""
     table = df.limit(max_rows + 1).toArrow()
-    return table if table.num_rows <= max_rows else None
+    return table if table.num_rows <= max_rows and table.nbytes <= LOOKUP_MAX_BYTES else None
 
 
 def lookup_side(df: DataFrame, max_rows: int = LOOKUP_MAX_ROWS) -> DataFrame:

@@ -6,14 +6,12 @@ whatever the partition layout, and a retried task draws the same rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsift.functions.columns import LOOKUP_MAX_ROWS, c, join_on, lookup_side
+from flowsift.functions.columns import c, join_on, lookup_side
 from flowsift.operators.classes import class_counts
 
 #: Copies of one row written by one task before they are spread over tasks.
@@ -107,22 +105,12 @@ def mark_parts(df: DataFrame, weights: Sequence[float], u: Column, target: str =
 
 def class_ratios(df: DataFrame, label: str = "Label", target: int | None = None) -> DataFrame:
     """Rows per class, the common target (whole median of the class sizes unless given) and target / rows."""
-    counts = class_counts(df, label).limit(LOOKUP_MAX_ROWS + 1).collect()
-    if len(counts) > LOOKUP_MAX_ROWS:
-        raise ValueError(f"more than {LOOKUP_MAX_ROWS} classes in {label!r}: this is no class column")
-    sizes = sorted(r["n_rows"] for r in counts)
+    counts = lookup_side(df.groupBy(c(label).alias("Label")).agg(F.count(F.lit(1)).alias("n_rows")))
     if target is None:
-        mid = len(sizes) // 2
-        target = (sizes[mid] if len(sizes) % 2 else (sizes[mid - 1] + sizes[mid]) // 2) if sizes else 0
-    table = pa.table(
-        {
-            "Label": pa.array([r["Label"] for r in counts], pa.string() if counts and isinstance(counts[0]["Label"], str) else None),
-            "n_rows": pa.array([r["n_rows"] for r in counts], pa.int64()),
-            "target": pa.array([target] * len(counts), pa.int64()),
-            "ratio": pa.array([target / r["n_rows"] for r in counts], pa.float64()),
-        }
-    )
-    return df.sparkSession.createDataFrame(table)
+        sizes = counts.groupBy("n_rows").agg(F.count(F.lit(1)).alias("_m"))
+        target = int(sizes.agg(F.percentile("n_rows", F.lit(0.5), F.col("_m"))).first()[0] or 0)
+    goal = F.lit(target).cast("long")
+    return counts.withColumn("target", goal).withColumn("ratio", F.lit(float(target)) / F.col("n_rows"))
 
 
 def balance(df: DataFrame, u: Column, label: str = "Label", target: int | None = None, copy: str = "copy") -> DataFrame:
@@ -134,7 +122,7 @@ def balance(df: DataFrame, u: Column, label: str = "Label", target: int | None =
     """
     ratios = class_ratios(df, label, target)
     extreme = ratios.agg(F.max("ratio")).first()[0] or 0.0
-    side = F.broadcast(ratios.select(F.col("Label").alias(label), F.col("ratio").alias("_r")))
+    side = ratios.select(F.col("Label").alias(label), F.col("ratio").alias("_r"))
     whole = F.floor("_r")
     joined = join_on(df.withColumn("_u", u), side, [label])
     counted = joined.withColumn(

@@ -1,9 +1,5 @@
 """Distribution and bivariate statistics."""
 
-import math
-
-from pyspark.sql import functions as F
-
 from flowsift.operators import distribution as dist
 from flowsift.operators import moments
 from flowsift.queries.registry import query, rounded

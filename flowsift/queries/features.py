@@ -3,15 +3,14 @@
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from flowsift.functions.columns import c
 from flowsift.operators import classes, features
 from flowsift.operators.moments import correlation, gram
+from flowsift.operators.sampling import sample_fraction
 from flowsift.plans.layers import to_gold
 from flowsift.queries.classes import INDEX_SQL
 from flowsift.queries.distribution import CORR_NAMES, corr_sql
 from flowsift.queries.registry import query, rounded, table
 from flowsift.queries.views import FEAT_SQL, KEYS, feat, key_u, over
-from flowsift.operators.sampling import sample_fraction, split
 
 _SLIM = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 _RARITY_INDEX = ', idx AS (SELECT rarity, (row_number() OVER (ORDER BY count(*) DESC, rarity) - 1)::DOUBLE AS label_index FROM feat GROUP BY 1)'

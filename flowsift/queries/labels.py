@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from flowsift.functions.columns import c
 from flowsift.operators import labels
 from flowsift.queries.registry import query
 from flowsift.queries.views import FLOWS_SQL, flows, over

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from flowsift.functions.columns import c
 from flowsift.functions.hashing import fast_uniform, key_uniform
 from flowsift.operators import sampling
 from flowsift.queries.registry import query, table

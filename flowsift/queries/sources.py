@@ -3,10 +3,8 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsift.functions.columns import c
-from flowsift.operators import audit
-from flowsift.plans.layers import ingest
-from flowsift.queries.labels import NAMES_SQL, STAGED_SQL, repaired
+from flowsift.plans.layers import ingest, to_bronze
+from flowsift.queries.labels import STAGED_SQL, repaired
 from flowsift.queries.registry import query, rounded, table
 from flowsift.queries.views import FLOWS_SQL, flows, over
 from flowsift.session import scratch_path
@@ -71,8 +69,6 @@ def src_rows_per_file(spark, folder):
     over(STAGED_SQL, """SELECT "Label", count(*) AS n_rows FROM repaired WHERE "Label" IN (FROM nm) GROUP BY 1"""),
 )
 def sink_partitioned(spark, folder):
-    from flowsift.plans.layers import to_bronze
-
     bronze = sinks.write_parquet(to_bronze(repaired(spark, folder)), scratch_path(spark, "bronze"), ["Label"])
     return bronze.groupBy("Label").agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from flowsift.functions.columns import c
 from flowsift.operators import temporal
 from flowsift.queries.labels import STAGED_SQL, repaired
 from flowsift.queries.registry import query, rounded

@@ -7,7 +7,7 @@ from flowsift.functions.hashing import fast_uniform
 from flowsift.operators import evaluate, sampling, training
 from flowsift.plans.modelling import prepare_sides
 from flowsift.queries.registry import query, table
-from flowsift.queries.views import KEYS, feat
+from flowsift.queries.views import feat
 from flowsift.session import materialize, scratch_path
 
 # Small ensembles: the queries are about the work around them.

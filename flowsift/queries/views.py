@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.functions.columns import c
 from flowsift.functions.hashing import key_uniform
 from flowsift.queries.registry import table
 

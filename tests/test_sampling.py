@@ -93,3 +93,10 @@ def test_even_number_of_classes(spark):
 def test_parts_follow_weights(rows, u):
     sizes = {r["part"]: r["count"] for r in sampling.mark_parts(rows, [2, 1, 1], u).groupBy("part").count().collect()}
     assert abs(sizes[0] / 20_000 - 0.5) < 0.02 and sum(sizes.values()) == 20_000
+
+
+def test_more_classes_than_a_lookup_holds(rows, monkeypatch, u):
+    usual = sampling.balance(rows, u)
+    monkeypatch.setattr(sampling, "lookup_side", lambda df: df)
+    key = lambda df: sorted((r["id"], r["copy"]) for r in df.select("id", "copy").collect())
+    assert key(usual) == key(sampling.balance(rows, u))
