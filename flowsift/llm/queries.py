@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowsift.llm.minhash import near_duplicates
+from flowsift.llm.packing import Limits, pack_sequences
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,5 +18,10 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup,)}
+def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_sequences(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limits=Limits(4096, 512, 4096))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op10_vector_packing)}
 ORACLES: dict[str, str] = {}
