@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowsift.llm import secrets
 from flowsift.llm.minhash import near_duplicates
 from flowsift.llm.packing import Limits, pack_sequences
 
@@ -18,10 +19,23 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def _span_digest(found: DataFrame, kinds: list[str]) -> DataFrame:
+    """Counts and the digest of the base spans, and all spans as text."""
+    of = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+    base = F.filter("spans", lambda x: x["kind"].isin(kinds))
+    return found.select(
+        "doc_id", *[of(k) for k in kinds], F.sha2(secrets.span_text(base), 256).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans")
+    )
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _span_digest(secrets.find_secrets(_table(spark, sf_dir, "documents")), secrets.BASE)
+
+
 def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = pack_sequences(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), limits=Limits(4096, 512, 4096))
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op10_vector_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op9_secret_scan, op10_vector_packing)}
 ORACLES: dict[str, str] = {}
