@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from flowsift.llm import secrets
 from flowsift.llm.minhash import near_duplicates
 from flowsift.llm.packing import Limits, pack_sequences
+from flowsift.llm.warc import archive_round_trip
+from flowsift.session import materialize
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +21,20 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = archive_round_trip(_table(spark, sf_dir, "pages"))
+    told = materialize(captures.select("capture_id", "page_id", "response"), "captures")
+    first = told.where("response.type = 'response'").select(F.col("capture_id").alias("refers_id"), F.col("page_id").alias("refers_to"))
+    wanted = told.withColumn("refers_id", F.col("response.refers_to"))
+    return wanted.join(first, "refers_id", "left").select(
+        "page_id",
+        "response.payload_bytes",
+        "response.payload_digest",
+        F.col("response.type").alias("record_type"),
+        "refers_to",
+    )
+
+
 def _span_digest(found: DataFrame, kinds: list[str]) -> DataFrame:
     """Counts and the digest of the base spans, and all spans as text."""
     of = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
@@ -37,5 +53,18 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op9_secret_scan, op10_vector_packing)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op6_warc_transactions, op9_secret_scan, op10_vector_packing)}
+ORACLES = {
+    "op6_warc_transactions": """
+        WITH p AS (
+          SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages
+        ), g AS (
+          SELECT *, max(page_id) OVER (PARTITION BY n, d) AS top,
+                 row_number() OVER (PARTITION BY n, d ORDER BY page_id DESC NULLS LAST) > 1 AS again
+          FROM p
+        )
+        SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+               CASE WHEN n >= 1000 AND top IS NOT NULL AND again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND top IS NOT NULL AND again THEN top END AS refers_to
+        FROM g""",
+}
