@@ -277,7 +277,8 @@ def _links(source, described, first, clusters, k, percent, minima, seed, slack)
         F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("n_blocks")
     )
     wanted = members.join(extent, "component").select("id", F.col("component").alias("cluster"), "n_blocks")
-    texts = source.where("id is not null and text is not null").join(wanted, "id")
+    # one plan at every size: a broadcast that ends at some number of candidates would change what is shuffled
+    texts = source.where("id is not null and text is not null").join(wanted.hint("merge"), "id")
     sets = texts.select("id", "cluster", "n_blocks", "text").mapInArrow(
         _full_sets(k, minima, seed), "id long, cluster long, n_blocks int, signature binary, shingles binary"
     )
