@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.llm import secrets
+from flowsift.llm import langid, secrets
+from flowsift.llm.decontaminate import leaked_passages
 from flowsift.llm.minhash import near_duplicates
 from flowsift.llm.packing import Limits, pack_sequences
 from flowsift.llm.warc import archive_round_trip
@@ -21,6 +22,16 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaked_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "text"), langid.train_language_model(docs))
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = archive_round_trip(_table(spark, sf_dir, "pages"))
     told = materialize(captures.select("capture_id", "page_id", "response"), "captures")
@@ -53,7 +64,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op6_warc_transactions, op9_secret_scan, op10_vector_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_benchmark_leaks, op5_language_id, op6_warc_transactions, op9_secret_scan, op10_vector_packing)}
 ORACLES = {
     "op6_warc_transactions": """
         WITH p AS (
