@@ -245,3 +245,18 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text", keep:
     source = docs.select(*keep, F.col(text_col).alias("text"), lettered.alias("lettered"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name not in ("text", "lettered"))
     return source.mapInArrow(_predict(net), f"{fields}, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, net: Network | None, least: float, text_col: str = "text") -> DataFrame:
+    """Rows of `docs`, all their columns, whose text has a language: not `und`, and a score of `least` or more."""
+    if net is None:
+        return docs.limit(0)
+    lettered = docs.where(F.col(text_col).rlike(r"\p{L}"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, text_col):
+                p = document_probabilities(net, *string_buffers(piece.column(text_col)))
+                yield piece.filter(pa.array(p.max(axis=1) >= least))
+
+    return lettered.mapInArrow(run, docs.schema)

@@ -44,8 +44,7 @@ def _cut(text: Column, pattern: str, when: Column, value: int | None = None) ->
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Matches of every row without their text: row number `row`, id, and an array of matches per kind."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    small = F.lower(text)
-    named = F.lit(False)
+    small, named = F.lower(text), F.lit(False)
     for word in ASSIGN_WORDS:
         named = named | F.contains(small, F.lit(word))
     owns_id = text.rlike(r"AKIA|ASIA|AGPA|AIDA|AROA")
@@ -62,6 +61,14 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
 
 
+def may_hold_secrets(text: Column) -> Column:
+    """False only for texts in which no kind can match; cheap to test."""
+    named = F.lit(False)
+    for word in ASSIGN_WORDS:
+        named = named | F.contains(F.lower(text), F.lit(word))
+    return F.coalesce(named | text.rlike(r"AKIA|ASIA|AGPA|AIDA|AROA") | text.rlike(HEX), F.lit(False))
+
+
 def _places(scanned: DataFrame) -> DataFrame:
     """One row per match: `row`, `kind` (number), `start`, `end`; base matches that fail their test are gone."""
     parts = F.array(
@@ -162,3 +169,22 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     )
     kept = F.transform(cuts, lambda x: F.substring(text, (x["a"] + 1).cast("int"), (x["z"] - x["a"]).cast("int")))
     return F.when(F.size(spans) > 0, F.array_join(kept, mark)).otherwise(text)
+
+
+def redact_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars", scope: int = SCOPE) -> DataFrame:
+    """Rows of `docs`, all their columns, with every secret in their text replaced by a mark and `size_col` (if there) renewed.
+
+    Only texts that may hold a secret are joined with their spans, by id and text, so repeated rows and null ids are safe.
+    """
+    suspect = may_hold_secrets(F.col(text_col))
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    found = find_secrets(docs.where(suspect).select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", scope)
+    found = found.where(F.size("spans") > 0).groupBy("key").agg(F.first("spans").alias("spans"))
+    rows = docs.where(suspect).select(F.struct(*docs.columns).alias("row"), key.alias("key")).join(found, "key", "left")
+    text = redact(F.col(f"row.{text_col}"), F.coalesce("spans", F.expr("array()").cast(found.schema["spans"].dataType)))
+    size = F.when(F.size("spans") > 0, F.length(text)).otherwise(F.col(f"row.{size_col}")) if size_col in docs.columns else None
+    new = {text_col: text, size_col: size}
+    columns = [
+        (new[c].cast(docs.schema[c].dataType) if c in new else F.col("row").getField(c)).alias(c) for c in docs.columns
+    ]
+    return docs.where(~suspect).unionByName(rows.select(*columns))
