@@ -10,6 +10,7 @@ from flowsift.llm import langid, secrets
 from flowsift.llm.decontaminate import leaked_passages
 from flowsift.llm.minhash import near_duplicates
 from flowsift.llm.packing import Limits, pack_sequences
+from flowsift.llm.topk import top_k
 from flowsift.llm.warc import archive_round_trip
 from flowsift.session import materialize
 
@@ -26,6 +27,10 @@ def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = langid.identify(docs.select("doc_id", "text"), langid.train_language_model(docs))
@@ -64,8 +69,19 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_benchmark_leaks, op5_language_id, op6_warc_transactions, op9_secret_scan, op10_vector_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_benchmark_leaks, op4_exact_top_k, op5_language_id, op6_warc_transactions, op9_secret_scan, op10_vector_packing)}
 ORACLES = {
+    "op4_exact_top_k": """
+        WITH v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+          WHERE vec_id IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+          SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.v, v.v)::BIGINT AS score
+          FROM (SELECT * FROM v WHERE vec_id % 20 = 0) q JOIN v ON q.vec_id <> v.vec_id AND len(q.v) = len(v.v)
+        )
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 20""",
     "op6_warc_transactions": """
         WITH p AS (
           SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages
