@@ -10,6 +10,7 @@ from flowsift.llm import langid, secrets
 from flowsift.llm.decontaminate import leaked_passages
 from flowsift.llm.minhash import near_duplicates
 from flowsift.llm.packing import Limits, pack_sequences
+from flowsift.llm.substring import remove_repeated
 from flowsift.llm.topk import top_k
 from flowsift.llm.warc import archive_round_trip
 from flowsift.session import materialize
@@ -51,6 +52,10 @@ def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated(_table(spark, sf_dir, "documents"), window=35)
+
+
 def _span_digest(found: DataFrame, kinds: list[str]) -> DataFrame:
     """Counts and the digest of the base spans, and all spans as text."""
     of = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
@@ -69,7 +74,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_benchmark_leaks, op4_exact_top_k, op5_language_id, op6_warc_transactions, op9_secret_scan, op10_vector_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_benchmark_leaks, op4_exact_top_k, op5_language_id, op6_warc_transactions, op8_substring_dedup, op9_secret_scan, op10_vector_packing)}
 ORACLES = {
     "op4_exact_top_k": """
         WITH v AS (
