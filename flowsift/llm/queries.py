@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.llm import langid, secrets
+from flowsift.llm import langid, secrets, toxicity
 from flowsift.llm.decontaminate import leaked_passages
 from flowsift.llm.minhash import near_duplicates
 from flowsift.llm.packing import Limits, pack_sequences
@@ -52,6 +52,11 @@ def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxic_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score_severity(docs, toxicity.train_severity_model(docs, _table(spark, sf_dir, "labels")))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(_table(spark, sf_dir, "documents"), window=35)
 
@@ -74,7 +79,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_benchmark_leaks, op4_exact_top_k, op5_language_id, op6_warc_transactions, op8_substring_dedup, op9_secret_scan, op10_vector_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_benchmark_leaks, op4_exact_top_k, op5_language_id, op6_warc_transactions, op7_toxic_severity, op8_substring_dedup, op9_secret_scan, op10_vector_packing)}
 ORACLES = {
     "op4_exact_top_k": """
         WITH v AS (
