@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.llm import langid, secrets, toxicity
+from flowsift.llm import langid, pii, secrets, toxicity
 from flowsift.llm.decontaminate import leaked_passages
 from flowsift.llm.minhash import near_duplicates
 from flowsift.llm.packing import Limits, pack_sequences
@@ -20,10 +22,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _span_digest(found: DataFrame, kinds: list[str], is_base: Callable[[Column], Column]) -> DataFrame:
+    """Counts and digest of the base spans, and all spans as text."""
+    base = F.filter("spans", is_base)
+    of = lambda k: F.size(F.filter(base, lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+    digest = F.sha2(secrets.span_text(base), 256).alias("base_sha256")
+    return found.select("doc_id", *[of(k) for k in kinds], digest, secrets.span_text(F.col("spans")).alias("spans"))
+
+
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return _span_digest(pii.find_personal_data(docs, pii.train_pii_model(docs)), pii.KINDS, lambda x: ~x["added"])
+
+
 def op3_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_passages(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -61,17 +76,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated(_table(spark, sf_dir, "documents"), window=35)
 
 
-def _span_digest(found: DataFrame, kinds: list[str]) -> DataFrame:
-    """Counts and the digest of the base spans, and all spans as text."""
-    of = lambda k: F.size(F.filter("spans", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
-    base = F.filter("spans", lambda x: x["kind"].isin(kinds))
-    return found.select(
-        "doc_id", *[of(k) for k in kinds], F.sha2(secrets.span_text(base), 256).alias("base_sha256"), secrets.span_text(F.col("spans")).alias("spans")
-    )
-
-
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _span_digest(secrets.find_secrets(_table(spark, sf_dir, "documents")), secrets.BASE)
+    return _span_digest(secrets.find_secrets(_table(spark, sf_dir, "documents")), secrets.BASE, lambda x: x["kind"].isin(secrets.BASE))
 
 
 def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +85,7 @@ def op10_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op3_benchmark_leaks, op4_exact_top_k, op5_language_id, op6_warc_transactions, op7_toxic_severity, op8_substring_dedup, op9_secret_scan, op10_vector_packing)}
+QUERIES = {f.__name__: f for f in (op1_minhash_near_dedup, op2_personal_data, op3_benchmark_leaks, op4_exact_top_k, op5_language_id, op6_warc_transactions, op7_toxic_severity, op8_substring_dedup, op9_secret_scan, op10_vector_packing)}
 ORACLES = {
     "op4_exact_top_k": """
         WITH v AS (
