@@ -110,7 +110,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def fit_severity(texts: list[str], toxic: list[bool], levels: int = 3, features: int = 400, least_texts: int = 5, least_gain: float = 20.0) -> SeverityModel:
+def fit_severity(texts: list[str], toxic: list[bool], levels: int = 3, features: int = 400, least_texts: int = 5, least_gain: float = 15.0) -> SeverityModel:
     """Choose the feature words, grade the toxic texts, and fit the model.
 
     Feature words stand in `least_texts` texts or more and are those whose document counts differ most between the two sides, by
@@ -180,6 +180,7 @@ def _score(model: SeverityModel):
                 total = np.bincount(rows, np.log1p(times) * model.weights[columns], piece.num_rows)
                 above = _sigmoid(total[:, None] - model.thresholds[None, :])
                 above[sizes == 0] = 0.0
+                above[:, np.isinf(model.thresholds)] = 0.0
                 steps = np.concatenate([np.ones((len(above), 1)), above, np.zeros((len(above), 1))], axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [
