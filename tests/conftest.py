@@ -18,6 +18,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.driver.bindAddress": "127.0.0.1",
+            "spark.driver.host": "127.0.0.1",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
