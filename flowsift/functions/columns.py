@@ -70,8 +70,8 @@ def finite(col: Column) -> Column:
 
 
 def number_or_zero(col: Column) -> Column:
-    """Text that is no number, and null, become 0."""
-    return F.coalesce(col.try_cast("double"), F.lit(0.0))
+    """Text that is no number, null and NaN become 0."""
+    return F.nanvl(F.coalesce(col.try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
 def per_column(

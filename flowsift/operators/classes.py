@@ -9,7 +9,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from flowsift.functions.columns import c, join_on, lookup_side, pct
+from flowsift.functions.columns import c, finite, join_on, lookup_side, pct
 
 OTHER = "other"
 
@@ -52,7 +52,11 @@ def fold_long_tail(df: DataFrame, label: str = "Label", below_pct: float = 2.0,
 
 def long_tail(df: DataFrame, label: str = "Label", below_pct: float = 2.0) -> DataFrame:
     """The classes that `fold_long_tail` folds."""
-    return class_share(df, label, digits=4).filter(F.col("pct") < below_pct)
+    counts = _counts(df, label)
+    total = counts.agg(F.sum("n_rows")).scalar()
+    share = F.try_divide(F.col("n_rows").cast("double"), total) * 100
+    small = counts.filter(share < below_pct).withColumn("pct", pct(F.col("n_rows"), total, 4))
+    return small.orderBy(F.desc("n_rows"), "Label")
 
 
 def n_classes(df: DataFrame, label: str = "Label") -> DataFrame:
@@ -103,13 +107,13 @@ def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
 
 
 def class_mean_std(df: DataFrame, names: Sequence[str], label: str = "Label") -> DataFrame:
-    """Mean and sample deviation per class and column."""
+    """Mean and sample deviation of the finite values per class and column."""
     stats = F.array(
         *[
             F.struct(
                 F.lit(n).alias("column"),
-                F.avg(c(n).cast("double")).alias("mean"),
-                F.stddev_samp(c(n).cast("double")).alias("stddev"),
+                F.avg(finite(c(n).cast("double"))).alias("mean"),
+                F.stddev_samp(finite(c(n).cast("double"))).alias("stddev"),
             )
             for n in names
         ]

@@ -18,8 +18,8 @@ from pyspark.sql import types as T
 from flowsift.functions.columns import c, lookup_side, pct
 from flowsift.session import materialize
 
-#: Ranges of scores that are ranked apart from each other.
-SCORE_RANGES = 256
+#: Ranges of scores that are ranked apart from each other: so many at least, and more if a range would hold more points.
+SCORE_RANGES, RANGE_POINTS = 256, 200_000
 
 
 def _ratio(top: Column, bottom: Column) -> Column:
@@ -134,22 +134,26 @@ def scores_long(df: DataFrame, scores: str = "probability", actual: str = "label
 def _score_points(long: DataFrame, digits: int | None) -> DataFrame:
     score = F.col("score") if digits is None else F.round("score", digits)
     positive = F.when(F.col("positive"), 1).otherwise(0).cast("long")
+    bad = F.col("score").isNull() | F.isnan("score")
+    sound = F.when(bad, F.raise_error(F.lit("a score is null or NaN")).cast("double")).otherwise(score)
     return (
-        long.filter(F.col("score").isNotNull() & ~F.isnan("score"))
-        .groupBy("class", score.alias("score"))
+        long.groupBy("class", sound.alias("score"))
         .agg(F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg"))
     )
 
 
-def ranked_scores(long: DataFrame, digits: int | None = None, ranges: int = SCORE_RANGES) -> DataFrame:
+def ranked_scores(long: DataFrame, digits: int | None = None, ranges: int | None = None) -> DataFrame:
     """Running positives `tp` and negatives `fp` per class from the highest score down, ties as one point.
 
     Scores are cut into ranges of about equal size. Rows are ranked inside a range and start from the totals of
     the ranges above it, so no task holds all scores of a class. `digits` rounds the scores first if wanted.
-    The points, far fewer than the predictions, are written once, because they are read three times.
+    The number of ranges grows with the points. The points, far fewer than the predictions, are written once, because they
+    are read three times. A null or NaN score has no place on a curve and is an error.
     """
     points = materialize(_score_points(long, digits), "scores")
-    marks = points.agg(F.approx_percentile("score", [i / ranges for i in range(1, ranges)], 10_000)).first()[0] or []
+    ranges = ranges or max(SCORE_RANGES, -(-points.count() // RANGE_POINTS))
+    wanted = [i / ranges for i in range(1, ranges)]
+    marks = points.agg(F.approx_percentile("score", wanted, max(10_000, 20 * ranges))).first()[0] or []
     edges = [-math.inf, *sorted(set(marks)), math.inf]
     if len(edges) < 3:
         edges = [-math.inf, 0.0, math.inf]

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsift.functions.columns import c, number_or_zero, per_column
+from flowsift.functions.hashing import fast_uniform, row_key
 from flowsift.operators.distribution import high_pairs
 from flowsift.operators.moments import correlation, gram
 
@@ -80,8 +82,11 @@ def rf_importance(
     depth: int = 10,
     seed: int = 42,
     max_bins: int = 32,
+    share: float = 1.0,
 ) -> DataFrame:
-    """Features ranked by random-forest importance."""
+    """Features ranked by random-forest importance, fitted on all rows or on a `share` of them drawn by a hash of the row."""
+    if share < 1:
+        df = df.filter(fast_uniform(seed, row_key(df)) < share)
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxBins=max_bins
     )
@@ -93,19 +98,29 @@ def rf_importance(
     return df.sparkSession.createDataFrame(rows, "rank int, feature string, importance double")
 
 
-def fit_pca(df: DataFrame, names: Sequence[str], k: int | None = None) -> PipelineModel:
-    """Assemble, standardise, principal components."""
-    stages = [
-        VectorAssembler(inputCols=list(names), outputCol="_raw", handleInvalid="skip"),
-        StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True),
-        PCA(k=k or len(names), inputCol="_scaled", outputCol="_pc"),
-    ]
-    return Pipeline(stages=stages).fit(df)
+def _components(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, np.ndarray, np.ndarray, dict]:
+    """(complete rows, explained shares, loadings, mean and deviation per column).
+
+    Principal components of standardised columns are eigenvectors of their correlation matrix, which is columns × columns
+    whatever the table; only that reaches the driver. The largest loading of each component is positive.
+    """
+    numbers = {n: c(n).cast("double") for n in names}
+    sound = [v.isNotNull() & ~F.isnan(v) for v in numbers.values()]
+    rows = df.filter(reduce(lambda a, b: a & b, sound))
+    stats = rows.agg(*[F.struct(F.avg(v), F.stddev_samp(v)).alias(f"_{i}") for i, v in enumerate(numbers.values())]).first()
+    r = np.eye(len(names))
+    for cell in correlation(rows, names).collect():
+        r[cell["i"], cell["j"]] = 0.0 if cell["r"] is None or np.isnan(cell["r"]) else cell["r"]
+    values, vectors = np.linalg.eigh(r)
+    order = np.argsort(-values, kind="stable")
+    values, vectors = np.maximum(values[order], 0), vectors[:, order]
+    vectors = vectors * np.sign(vectors[np.abs(vectors).argmax(axis=0), np.arange(len(names))])
+    return rows, values / values.sum(), vectors, {n: tuple(stats[i]) for i, n in enumerate(names)}
 
 
 def pca_scree(df: DataFrame, names: Sequence[str], share: float = VARIANCE_SHARE) -> DataFrame:
     """Explained variance per component, running total, and the components needed for `share`."""
-    variance = fit_pca(df, names).stages[-1].explainedVariance.toArray()
+    _, variance, _, _ = _components(df, names)
     total = np.cumsum(variance)
     needed = int(np.argmax(total >= share - 1e-12)) + 1
     rows = [(i + 1, float(v), float(t), i + 1 == needed) for i, (v, t) in enumerate(zip(variance, total))]
@@ -114,9 +129,10 @@ def pca_scree(df: DataFrame, names: Sequence[str], share: float = VARIANCE_SHARE
 
 def pca_project(df: DataFrame, names: Sequence[str], keep: Sequence[str], k: int = 2) -> DataFrame:
     """First `k` principal components per row beside the columns to keep."""
-    scored = fit_pca(df, names, k).transform(df)
-    parts = vector_to_array("_pc")
-    return scored.select(*[c(n) for n in keep], *[parts[i].alias(f"pc{i + 1}") for i in range(k)])
+    rows, _, vectors, stats = _components(df, names)
+    z = {n: F.coalesce(F.try_divide(c(n).cast("double") - F.lit(m), F.lit(s)), F.lit(0.0)) for n, (m, s) in stats.items()}
+    parts = [reduce(lambda a, b: a + b, [z[n] * float(vectors[i, j]) for i, n in enumerate(names)]) for j in range(k)]
+    return rows.select(*[c(n) for n in keep], *[p.alias(f"pc{j + 1}") for j, p in enumerate(parts)])
 
 
 def f_tail(f: Column, d1: Column, d2: Column) -> Column:

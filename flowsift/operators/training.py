@@ -13,13 +13,13 @@ from itertools import product
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, OneVsRest, OneVsRestModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.functions.columns import c
 from flowsift.operators.evaluate import confusion_counts, global_metrics
 from flowsift.operators.sampling import mark_parts, sample_fraction
+from flowsift.session import materialize
 
 # Parameters of the base models and of the two grids.
 RF_BASE = {"numTrees": 50, "maxDepth": 10, "maxBins": 16, "seed": 42}
@@ -85,31 +85,31 @@ def leaderboard(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
 
 def tune_forest(
     train: DataFrame,
+    u: Column,
+    prepare: Callable[[DataFrame], DataFrame] = lambda part: part,
     grid: Mapping[str, Sequence] = RF_GRID,
     train_ratio: float = 0.75,
-    parallelism: int = 2,
     label: str = "label_index",
     **params,
-) -> tuple[TrainValidationSplitModel, DataFrame]:
-    """Grid search on a train/validation split by weighted F1; returns the model and F1 per combination."""
-    forest = random_forest(label, **params)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(forest.getParam(name), list(values))
-    maps = builder.build()
-    search = TrainValidationSplit(
-        estimator=forest,
-        estimatorParamMaps=maps,
-        evaluator=evaluator("f1", label),
-        trainRatio=train_ratio,
-        parallelism=parallelism,
-        seed=42,
-    )
-    model = search.fit(train)
-    rows = [
-        ({p.name: str(v) for p, v in m.items()}, float(f1)) for m, f1 in zip(maps, model.validationMetrics)
-    ]
-    return model, _grid_table(train.sparkSession, list(grid), rows)
+) -> tuple[Model, DataFrame]:
+    """Grid search by weighted F1 on a held-back part; returns the best model, refitted on all of `train`, and F1 per combination.
+
+    Rows are split by `u`, so the parts do not depend on the partition layout, and only what is fitted goes through `prepare`
+    (class balance, say), so no copy of a row can be on both sides.
+    """
+    marked = mark_parts(train, (train_ratio, 1 - train_ratio), u, "_part")
+    fit_side = materialize(prepare(marked.filter(F.col("_part") == 0).drop("_part")), "fit_side")
+    check_side = materialize(marked.filter(F.col("_part") == 1).drop("_part"), "check_side")
+    names, rows, best = list(grid), [], None
+    for values in product(*grid.values()):
+        chosen = dict(zip(names, values))
+        model = random_forest(label, **{**params, **chosen}).fit(fit_side)
+        f1 = test_metrics(score(model, check_side, (label,)), label)["f1"]
+        rows.append(({n: str(v) for n, v in chosen.items()}, f1))
+        if best is None or f1 > best[0]:
+            best = (f1, chosen)
+    model = random_forest(label, **{**params, **best[1]}).fit(prepare(train))
+    return model, _grid_table(train.sparkSession, names, rows)
 
 
 def _grid_table(spark: SparkSession, names: Sequence[str], rows: Sequence[tuple[dict, float]]) -> DataFrame:

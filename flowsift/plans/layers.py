@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from flowsift.functions.columns import numeric_columns, pct, rename_like
 from flowsift.operators import clean, features, labels, temporal
 from flowsift.operators.labels import DEFAULT, LabelCatalogue
+from flowsift.session import materialize
 from flowsift.sources.readers import read_csv
 from flowsift.sources.sinks import write_parquet
 
@@ -28,8 +29,11 @@ def to_bronze(flows: DataFrame, catalogue: LabelCatalogue = DEFAULT) -> DataFram
 def ingest(
     spark: SparkSession, folder: str, path: str, types: dict[str, T.DataType], catalogue: LabelCatalogue = DEFAULT
 ) -> tuple[DataFrame, DataFrame]:
-    """CSV folder to a bronze table partitioned by class. Returns the labelled flows for the audit, and bronze."""
-    flows = labelled(read_csv(spark, folder, types), catalogue)
+    """CSV folder to a bronze table partitioned by class. Returns the labelled flows for the audit, and bronze.
+
+    The labelled rows are written once; both the audit and bronze read them, and the CSV files are parsed a single time.
+    """
+    flows = materialize(labelled(read_csv(spark, folder, types), catalogue), "labelled")
     return flows, write_parquet(to_bronze(flows, catalogue), path, ["Label"])
 
 
@@ -98,8 +102,13 @@ def silver_report(bronze: DataFrame, ids: Sequence[str] = clean.ID_COLUMNS) -> D
     return counts.select(F.inline(F.array(*cells)))
 
 
-def to_gold(silver: DataFrame, threshold: float = features.CORRELATION_LIMIT) -> tuple[DataFrame, list[str]]:
-    """Time parts, class number, correlated features dropped. Returns the table and the features kept."""
+def to_gold(silver: DataFrame, threshold: float = features.CORRELATION_LIMIT, stored: bool = False) -> tuple[DataFrame, list[str]]:
+    """Time parts, class number, correlated features dropped. Returns the table and the features kept.
+
+    Silver is read for the class counts, the correlations and the result, so it is written first unless `stored` says that it
+    is a table already; its deduplication then runs once.
+    """
+    silver = silver if stored else materialize(silver, "silver")
     timed = temporal.add_time_parts(silver) if "Timestamp" in silver.columns else silver
     indexed = features.label_index(timed)
     names = numeric_columns(indexed, exclude=["label_index"])

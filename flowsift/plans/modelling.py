@@ -33,8 +33,10 @@ def prepare_sides(
     """Assemble, split, scale on train, balance train.
 
     Gold has no key, so rows are split by a hash of the whole row: equal rows share a side and cannot leak.
-    The balanced training side and the test side are written once, since every fit reads them many times.
+    Gold, the balanced training side and the test side are written once, since they are read many times.
     """
+    if store:
+        gold = materialize(gold, "gold")
     base = key if key is not None else row_key(gold)
     marked = gold.withColumn("_key", base)
     packed = features.assemble(marked, names, "features_raw").select(label, "_key", "features_raw")

@@ -1,11 +1,11 @@
 """Data-quality audit."""
 
-from flowsift.functions.columns import select_numeric
+from flowsift.functions.columns import c, select_numeric
 from flowsift.operators import audit, clean
 from flowsift.plans.layers import silver_report
 from flowsift.queries.labels import STAGED_SQL, repaired
 from flowsift.queries.registry import query, rounded
-from flowsift.queries.views import FEAT_SQL, FLOWS_DUP_SQL, FLOWS_SQL, feat, flows, flows_dup, over
+from flowsift.queries.views import FEAT_SQL, FLOWS_DUP_SQL, FLOWS_SQL, feat, flows, flows_dup, over, text_of, text_of_sql
 
 _FLOW_COLUMNS = ["event_id", "source_file", "Timestamp", "Label", "Flow Duration", "Flow Byts/s", "Init Win Byts", "Const", "Src IP"]
 
@@ -254,6 +254,7 @@ def topk_variance(spark, folder):
     return rounded(audit.top_columns(audit.variance(feat(spark, folder), _NUMBERS), "variance", 5), 3, "variance")
 
 
-@query("proj_numeric", over(FLOWS_SQL, 'SELECT event_id, "Flow Duration", coalesce("Flow Byts/s", -1) AS "Flow Byts/s", "Init Win Byts" FROM flows WHERE isfinite("Flow Byts/s")'))
+@query("proj_numeric", over(FLOWS_SQL, f'SELECT event_id, "Flow Duration", {text_of_sql(chr(34) + "Flow Byts/s" + chr(34))} AS "Flow Byts/s", "Init Win Byts" FROM flows'))
 def proj_numeric(spark, folder):
-    return clean.finite_rows(select_numeric(flows(spark, folder), exclude=["Const"]))
+    numbers = select_numeric(flows(spark, folder), exclude=["Const"])
+    return numbers.withColumn("Flow Byts/s", text_of(c("Flow Byts/s")))

@@ -6,7 +6,7 @@ from flowsift.operators import classes
 from flowsift.operators.features import label_index
 from flowsift.queries.labels import STAGED_SQL, repaired
 from flowsift.queries.registry import query, rounded, table
-from flowsift.queries.views import FEAT_SQL, feat, over
+from flowsift.queries.views import FEAT_SQL, FLOWS_SQL, feat, flows, over
 
 _RARITY = "SELECT rarity AS \"Label\", count(*) AS n_rows FROM feat GROUP BY 1"
 
@@ -147,3 +147,17 @@ def class_profile_minmax(spark, folder):
 )
 def class_id_sorted(spark, folder):
     return classes.class_id(feat(spark, folder)).select("l_orderkey", "l_linenumber", "Label", "class_id")
+
+
+@query(
+    "class_mean_std_dirty",
+    over(
+        FLOWS_SQL,
+        """SELECT "Src IP" IS NULL AS "Label", 'Flow Byts/s' AS "column", round(avg("Flow Byts/s"), 3) AS mean, round(stddev_samp("Flow Byts/s"), 3) AS stddev
+           FROM flows WHERE isfinite("Flow Byts/s") GROUP BY 1""",
+    ),
+)
+def class_mean_std_dirty(spark, folder):
+    """Means of a column with infinities, NaN and nulls."""
+    rows = flows(spark, folder).withColumn("side", F.col("`Src IP`").isNull())
+    return rounded(classes.class_mean_std(rows, ["Flow Byts/s"], "side"), 3, "mean", "stddev")

@@ -7,7 +7,14 @@ from flowsift.operators import clean
 from flowsift.plans.layers import to_silver
 from flowsift.queries.audit import SILVER_SQL
 from flowsift.queries.registry import query, table
-from flowsift.queries.views import FLOWS_DUP_SQL, FLOWS_SQL, flows, flows_dup, over
+from flowsift.queries.views import FLOWS_DUP_SQL, FLOWS_SQL, flows, flows_dup, over, text_of, text_of_sql
+
+_RATE = text_of_sql('"Flow Byts/s"')
+
+
+def _written(df):
+    """The column with NaN and infinities as text."""
+    return df.withColumn("Flow Byts/s", text_of(c("Flow Byts/s")))
 
 
 @query("proj_label_rename", over(FLOWS_SQL, 'SELECT event_id, "Label" FROM flows'))
@@ -32,21 +39,21 @@ def proj_coerce_fill(spark, folder):
 
 @query(
     "clean_drop_ids",
-    over(FLOWS_SQL, """SELECT event_id, source_file, "Timestamp", "Label", "Flow Duration", "Init Win Byts", "Const" FROM flows"""),
+    over(FLOWS_SQL, f"""SELECT event_id, source_file, "Timestamp", "Label", "Flow Duration", {_RATE} AS "Flow Byts/s", "Init Win Byts", "Const" FROM flows"""),
 )
 def clean_drop_ids(spark, folder):
-    return clean.drop_ids(flows(spark, folder)).drop("Flow Byts/s")
+    return _written(clean.drop_ids(flows(spark, folder)))
 
 
 @query(
     "clean_dedup",
     over(
         FLOWS_DUP_SQL,
-        """SELECT DISTINCT source_file, "Timestamp", "Label", "Flow Duration", "Init Win Byts", "Const", "Src IP" FROM flows_dup""",
+        f"""SELECT DISTINCT source_file, "Timestamp", "Label", "Flow Duration", {_RATE} AS "Flow Byts/s", "Init Win Byts", "Const", "Src IP" FROM flows_dup""",
     ),
 )
 def clean_dedup(spark, folder):
-    return clean.deduplicate(flows_dup(spark, folder).drop("Flow Byts/s"))
+    return _written(clean.deduplicate(flows_dup(spark, folder)))
 
 
 @query(
@@ -92,12 +99,23 @@ def clean_clip_balances(spark, folder):
 
 @query(
     "clean_drop_constant",
-    over(FLOWS_SQL, """SELECT event_id, source_file, "Timestamp", "Label", "Flow Duration", "Init Win Byts", "Src IP" FROM flows"""),
+    over(FLOWS_SQL, f"""SELECT event_id, source_file, "Timestamp", "Label", "Flow Duration", {_RATE} AS "Flow Byts/s", "Init Win Byts", "Src IP" FROM flows"""),
 )
 def clean_drop_constant(spark, folder):
-    return clean.drop_constant(flows(spark, folder).drop("Flow Byts/s"))
+    return _written(clean.drop_constant(flows(spark, folder)))
 
 
 @query("clean_silver", over(SILVER_SQL, "SELECT * FROM z6"))
 def clean_silver(spark, folder):
     return to_silver(flows_dup(spark, folder).drop("source_file"))
+
+
+@query(
+    "proj_coerce_fill_nan",
+    over(FLOWS_SQL, """SELECT event_id, CASE WHEN isnan("Flow Byts/s") THEN 0 ELSE coalesce("Flow Byts/s", 0) END::DOUBLE AS rate FROM flows
+         WHERE "Flow Byts/s" IS NULL OR NOT isinf("Flow Byts/s")"""),
+)
+def proj_coerce_fill_nan(spark, folder):
+    rows = flows(spark, folder)
+    kept = rows.filter(c("Flow Byts/s").isNull() | (c("Flow Byts/s") != float("inf")))
+    return kept.select("event_id", number_or_zero(c("Flow Byts/s").cast("string")).alias("rate"))

@@ -2,8 +2,8 @@
 
 from flowsift.operators import distribution as dist
 from flowsift.operators import moments
-from flowsift.queries.registry import query, rounded
-from flowsift.queries.views import FEAT_SQL, feat, over
+from flowsift.queries.registry import query, rounded, table
+from flowsift.queries.views import FEAT_SQL, FLOWS_SQL, feat, flows, over
 
 _BINS, _GRID = 50, 64
 
@@ -41,12 +41,10 @@ def _kde_sql(source: str, by: str = "") -> str:
     using = f'USING ("{by}")' if by else "ON true"
     return f"""
     , m AS (SELECT {key}count(*) AS n, min(price) AS lo, max(price) AS hi, stddev_samp(price) AS sd FROM {source} {group}),
-    cells AS (SELECT {key}n, lo, hi, sd, least(floor((price - lo) / ((hi - lo) / {_BINS}))::INT, {_BINS - 1}) AS b, count(*) AS k, avg(price) AS c
-              FROM {source} JOIN m {using} GROUP BY ALL),
     g AS (SELECT {key}range::INT AS point, lo - (hi - lo) * 0.5::DOUBLE + range * (hi - lo) * 2 / {_GRID - 1} AS x,
-            k, n, sd * pow(n, -0.2::DOUBLE) AS w, c FROM cells, range({_GRID}))
-    SELECT {key}point, round(x, 4) AS x, round(sum(k * exp(-0.5::DOUBLE * pow((x - c) / w, 2)) / (n * w * sqrt(2 * pi()))), 11) AS density
-    FROM g GROUP BY {key}point, x"""
+            n, sd * pow(n, -0.2::DOUBLE) AS w FROM m, range({_GRID}))
+    SELECT {key}point, round(x, 4) AS x, round(sum(exp(-0.5::DOUBLE * pow((x - price) / w, 2))) / (n * w * sqrt(2 * pi())), 11) AS density
+    FROM g JOIN {source} {using} GROUP BY {key}point, x, n, w"""
 
 
 def _rounded_kde(df):
@@ -55,7 +53,7 @@ def _rounded_kde(df):
 
 @query("dist_kde", over(FEAT_SQL, _kde_sql("feat")))
 def dist_kde(spark, folder):
-    return _rounded_kde(dist.density(feat(spark, folder), "price", _BINS, _GRID))
+    return _rounded_kde(dist.density(feat(spark, folder), "price", _GRID))
 
 
 @query(
@@ -68,7 +66,7 @@ def dist_kde(spark, folder):
     ),
 )
 def dist_class_ridge(spark, folder):
-    return _rounded_kde(dist.ridge(feat(spark, folder), "price", bins=_BINS, grid=_GRID))
+    return _rounded_kde(dist.ridge(feat(spark, folder), "price", grid=_GRID))
 
 
 _COLUMNS = ["quantity", "price", "tax"]
@@ -285,3 +283,33 @@ def scale_robust_clip(spark, folder):
 def class_ellipse(spark, folder):
     out = dist.class_ellipse(feat(spark, folder), "price", "quantity")
     return rounded(rounded(out, 4, "centre_x", "centre_y", "scale_x", "scale_y"), 6, "radius_x", "radius_y")
+
+
+_RATES = """SELECT event_type, 'Flow Byts/s' AS "column", "Flow Byts/s" AS v FROM flows JOIN events USING (event_id) WHERE isfinite("Flow Byts/s")"""
+
+
+def _rates(spark, folder):
+    """A column with infinities, NaN and nulls, per event type."""
+    types = table(spark, folder, "events").select("event_id", "event_type")
+    return flows(spark, folder).join(types, "event_id")
+
+
+@query("dist_box_stats_dirty", over(FLOWS_SQL, _box_sql(_RATES, 'event_type, "column"')))
+def dist_box_stats_dirty(spark, folder):
+    return rounded(dist.box_stats(_rates(spark, folder), ["Flow Byts/s"], "event_type"), 6, *_BOX_VALUES)
+
+
+@query(
+    "class_ellipse_dirty",
+    over(
+        FLOWS_SQL,
+        """SELECT event_type AS "Label", count(*) AS n_rows, round(avg("Flow Byts/s"), 4) AS centre_x, round(avg("Init Win Byts"), 4) AS centre_y,
+             round(stddev_samp("Flow Byts/s") * 2, 4) AS scale_x, round(stddev_samp("Init Win Byts") * 2, 4) AS scale_y,
+             round(sqrt(1 + corr("Flow Byts/s", "Init Win Byts")), 6) AS radius_x,
+             round(sqrt(1 - corr("Flow Byts/s", "Init Win Byts")), 6) AS radius_y, count(*) > 50 AS drawn
+           FROM flows JOIN events USING (event_id) WHERE isfinite("Flow Byts/s") GROUP BY 1""",
+    ),
+)
+def class_ellipse_dirty(spark, folder):
+    out = dist.class_ellipse(_rates(spark, folder), "Flow Byts/s", "Init Win Byts", "event_type")
+    return rounded(rounded(out, 4, "centre_x", "centre_y", "scale_x", "scale_y"), 6, "radius_x", "radius_y")

@@ -5,12 +5,11 @@ from pyspark.sql import functions as F
 
 from flowsift.operators import classes, features
 from flowsift.operators.moments import correlation, gram
-from flowsift.operators.sampling import sample_fraction
 from flowsift.plans.layers import to_gold
 from flowsift.queries.classes import INDEX_SQL
 from flowsift.queries.distribution import CORR_NAMES, corr_sql
 from flowsift.queries.registry import query, rounded, table
-from flowsift.queries.views import FEAT_SQL, KEYS, feat, key_u, over
+from flowsift.queries.views import FEAT_SQL, KEYS, feat, over
 
 _SLIM = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 _RARITY_INDEX = ', idx AS (SELECT rarity, (row_number() OVER (ORDER BY count(*) DESC, rarity) - 1)::DOUBLE AS label_index FROM feat GROUP BY 1)'
@@ -74,9 +73,8 @@ def feat_corr_prune(spark, folder):
 @query("feat_rf_importance")
 def feat_rf_importance(spark, folder):
     rows = features.label_index(feat(spark, folder), "rarity")
-    part = sample_fraction(rows, 0.3, key_u(42))
     names = ["quantity", "price", "discount", "tax", "linenumber", "price_net", "day_of_week"]
-    return features.rf_importance(part, names, trees=10, depth=5)
+    return features.rf_importance(rows, names, trees=10, depth=5)
 
 
 @query("feat_pca_scree")
@@ -90,6 +88,35 @@ def feat_pca_2d(spark, folder):
     return features.pca_project(feat(spark, folder), names, [*KEYS, "Label"])
 
 
+@query(
+    "feat_pca_scree_pair",
+    over(
+        FEAT_SQL,
+        """, r AS (SELECT abs(corr(price, quantity)) AS r FROM feat)
+        SELECT 1::INT AS component, round((1 + r) / 2, 8) AS explained, round((1 + r) / 2, 8) AS cumulative, (1 + r) / 2 >= 0.9 AS reaches_share FROM r
+        UNION ALL SELECT 2, round((1 - r) / 2, 8), 1.0, (1 + r) / 2 < 0.9 FROM r""",
+    ),
+)
+def feat_pca_scree_pair(spark, folder):
+    """Two columns, where the closed form is known; more are tested against numpy."""
+    return rounded(features.pca_scree(feat(spark, folder), ["price", "quantity"], 0.9), 8, "explained", "cumulative")
+
+
+@query(
+    "feat_pca_2d_pair",
+    over(
+        FEAT_SQL,
+        """, z AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, (price - avg(price) OVER ()) / stddev_samp(price) OVER () AS a,
+                     (quantity - avg(quantity) OVER ()) / stddev_samp(quantity) OVER () AS b FROM feat)
+        SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(abs(a + b) / sqrt(2), 6) AS pc1, round(abs(a - b) / sqrt(2), 6) AS pc2 FROM z""",
+    ),
+)
+def feat_pca_2d_pair(spark, folder):
+    """Distances along both components of two columns with a positive correlation."""
+    out = features.pca_project(feat(spark, folder), ["price", "quantity"], KEYS)
+    return out.select(*KEYS, F.round(F.abs("pc1"), 6).alias("pc1"), F.round(F.abs("pc2"), 6).alias("pc2"))
+
+
 _ANOVA_NAMES = ["quantity", "price", "discount", "tax", "linenumber", "day_of_week"]
 
 
@@ -134,13 +161,13 @@ def feat_gram(spark, folder):
 @query(
     "feat_gram_wide",
     """WITH e AS (SELECT vec_id, unnest(range(64)) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings),
-       s AS (SELECT * FROM e WHERE i < 24)
+       s AS (SELECT * FROM e)
        SELECT a.i::INT AS i, b.i::INT AS j, round(sum(a.v * b.v), 6) AS g FROM s a JOIN s b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY 1, 2""",
 )
 def feat_gram_wide(spark, folder):
     """Gram matrix of more columns than fit one set of plain sums."""
     vectors = table(spark, folder, "embeddings")
-    wide = vectors.select(*[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(24)])
+    wide = vectors.select(*[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)])
     return rounded(gram(wide, wide.columns), 6, "g")
 
 
@@ -190,7 +217,7 @@ def feat_method_table_full(spark, folder):
         CORR_NAMES,
         kept,
         features.anova_f(rows, kept, "rarity"),
-        features.rf_importance(sample_fraction(rows, 0.3, key_u(42)), kept, trees=5, depth=4),
+        features.rf_importance(rows, kept, trees=5, depth=4),
         features.vif(rows, kept),
         top_importance=4,
         top_anova=4,

@@ -3,10 +3,12 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowsift.plans.layers import ingest, to_bronze
+from flowsift.functions.columns import c
+from flowsift.operators.audit import integrity
+from flowsift.plans.layers import ingest, to_bronze, to_gold, to_silver
 from flowsift.queries.labels import STAGED_SQL, repaired
 from flowsift.queries.registry import query, rounded, table
-from flowsift.queries.views import FLOWS_SQL, flows, over
+from flowsift.queries.views import FLOWS_SQL, flows, over, text_of, text_of_sql
 from flowsift.session import scratch_path
 from flowsift.sources import readers, sinks
 
@@ -20,43 +22,71 @@ FLOW_TYPES = {
 
 
 def _csv_days(spark, folder):
-    """The flows as a CSV folder in two layouts: even days lack the column `Src IP`."""
+    """The flows with their dirty labels as a CSV folder in two layouts: even days lack the column `Src IP` and call the label ` Label`,
+    odd days `label`."""
     path = scratch_path(spark, "csv")
-    source = flows(spark, folder).drop("source_file", "Label").withColumn(
-        "Label", F.when(F.col("event_id") % 2 == 0, "Benign").otherwise("Bot")
-    )
+    source = flows(spark, folder).drop("source_file")
     even = F.col("event_id") % 2 == 0
-    sinks.write_csv(source.filter(~even), f"{path}/full")
-    sinks.write_csv(source.filter(even).drop("Src IP"), f"{path}/short")
+    sinks.write_csv(source.filter(~even).withColumnRenamed("Label", "label"), f"{path}/full")
+    sinks.write_csv(source.filter(even).drop("Src IP").withColumnRenamed("Label", " Label"), f"{path}/short")
     return path
 
 
-@query(
-    "src_csv_roundtrip",
-    "SELECT event_id, user_id, event_type, value FROM events",
-)
+@query("src_csv_roundtrip", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def src_csv_roundtrip(spark, folder):
     path = scratch_path(spark, "events")
-    columns = ["event_id", "user_id", "event_type", "value"]
-    events = table(spark, folder, "events").select(*columns)
+    events = table(spark, folder, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
     sinks.write_csv(events, path)
     return readers.read_csv(spark, path, events.schema).drop("source_file")
 
 
+@query("src_csv_roundtrip_text", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def src_csv_roundtrip_text(spark, folder):
+    """Texts with line breaks, quotes and blanks at their ends."""
+    path = scratch_path(spark, "documents")
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    sinks.write_csv(docs, path)
+    return readers.read_csv(spark, path, docs.schema, multi_line=True).drop("source_file")
+
+
 @query(
     "src_csv_two_layouts",
-    over(FLOWS_SQL, """SELECT event_id, "Flow Duration", "Init Win Byts", "Src IP" FROM flows"""),
+    over(
+        FLOWS_SQL,
+        f"""SELECT event_id, "Timestamp", "Label", "Flow Duration", {text_of_sql('"Flow Byts/s"')} AS "Flow Byts/s", "Init Win Byts", "Const", "Src IP" FROM flows""",
+    ),
 )
 def src_csv_two_layouts(spark, folder):
     path = _csv_days(spark, folder)
-    read = readers.read_csv(spark, f"{path}/*", FLOW_TYPES)
-    return read.select("event_id", "Flow Duration", "Init Win Byts", "Src IP")
+    read = readers.read_csv(spark, f"{path}/*", {**FLOW_TYPES, "Label": T.StringType()}, multi_line=True)
+    return read.withColumn("Flow Byts/s", text_of(c("Flow Byts/s"))).drop("source_file")
+
+
+@query(
+    "src_csv_inferred",
+    """SELECT unnest(['event_id', 'Timestamp', 'Label', 'Flow Duration', 'Flow Byts/s', 'Init Win Byts', 'Const', 'Src IP']) AS "column",
+              unnest(['bigint', 'string', 'string', 'double', 'double', 'bigint', 'bigint', 'string']) AS "type" """,
+)
+def src_csv_inferred(spark, folder):
+    text = readers.read_csv(spark, f"{_csv_days(spark, folder)}/*", {"Label": T.StringType()}, multi_line=True)
+    found = readers.infer_types(text, exclude=["source_file"])
+    return spark.createDataFrame([(n, t.simpleString()) for n, t in found.items()], "column string, type string")
+
+
+@query(
+    "src_csv_misfits",
+    over(FLOWS_SQL, """SELECT 'Timestamp' AS "column", count(*) AS n_values, count(*) AS n_misfits FROM flows
+      UNION ALL SELECT 'Const', count(*), 0 FROM flows"""),
+)
+def src_csv_misfits(spark, folder):
+    text = readers.read_csv(spark, f"{_csv_days(spark, folder)}/*", {}, multi_line=True)
+    return readers.misfits(text, {"Timestamp": T.DoubleType(), "Const": T.IntegerType()})
 
 
 @query("src_file_tag")
 def src_file_tag(spark, folder):
     path = _csv_days(spark, folder)
-    return readers.read_csv(spark, f"{path}/*", FLOW_TYPES).select("event_id", "source_file")
+    return readers.read_csv(spark, f"{path}/*", FLOW_TYPES, multi_line=True).select("event_id", "source_file")
 
 
 @query("src_rows_per_file", over(FLOWS_SQL, "SELECT source_file, count(*) AS n_rows, 9::INT AS n_columns FROM flows GROUP BY 1"))
@@ -73,18 +103,18 @@ def sink_partitioned(spark, folder):
     return bronze.groupBy("Label").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("sink_parquet", "SELECT o_orderkey, o_totalprice FROM orders")
+@query("sink_parquet", "SELECT * FROM orders")
 def sink_parquet(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    orders = table(spark, folder, "orders")
     return sinks.write_parquet(orders, scratch_path(spark, "orders"))
 
 
 @query(
     "sink_verify",
-    "SELECT count(*) AS rows_expected, count(*) AS rows_found, 2::INT AS columns_expected, 2::INT AS columns_found, true AS passed FROM orders",
+    "SELECT count(*) AS rows_expected, count(*) AS rows_found, 6::INT AS columns_expected, 6::INT AS columns_found, true AS passed FROM orders",
 )
 def sink_verify(spark, folder):
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    orders = table(spark, folder, "orders")
     path = scratch_path(spark, "orders")
     sinks.write_parquet(orders, path)
     return sinks.verify_written(orders, path)
@@ -119,14 +149,39 @@ def src_footprint(spark, folder):
 
 @query(
     "ingest_bronze",
-    over(
-        FLOWS_SQL,
-        """SELECT CASE WHEN event_id % 2 = 0 THEN 'Benign' ELSE 'Bot' END AS "Label", count(*) AS n_rows,
-             round(sum("Flow Duration"), 2) AS duration FROM flows GROUP BY 1""",
-    ),
+    over(STAGED_SQL, """SELECT "Label", count(*) AS n_rows, round(sum("Flow Duration"), 2) AS duration FROM repaired WHERE "Label" IN (FROM nm) GROUP BY 1"""),
 )
 def ingest_bronze(spark, folder):
-    """CSV folder in, bronze table out, summed up again per class."""
+    """CSV folder with dirty labels in, bronze table out, summed up again per class."""
     _, bronze = ingest(spark, f"{_csv_days(spark, folder)}/*", scratch_path(spark, "bronze"), FLOW_TYPES)
     sums = bronze.groupBy("Label").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("Flow Duration").alias("duration"))
     return rounded(sums, 2, "duration")
+
+
+@query(
+    "pipeline_gold",
+    over(
+        STAGED_SQL,
+        """, s AS (SELECT "Label", greatest("Flow Duration", 0) AS d, try_strptime("Timestamp", '%d/%m/%Y %H:%M:%S') AS t FROM repaired
+             WHERE "Label" IN (FROM nm) AND isfinite("Flow Byts/s") AND year(try_strptime("Timestamp", '%d/%m/%Y %H:%M:%S')) >= 2000)
+        SELECT "Label", (dense_rank() OVER (ORDER BY count(*) DESC, "Label") - 1)::DOUBLE AS label_index, count(*) AS n_rows,
+          round(sum(d), 2) AS duration, sum(hour(t))::BIGINT AS hours FROM s GROUP BY 1""",
+    ),
+)
+def pipeline_gold(spark, folder):
+    """CSV with dirty labels through bronze and silver to gold, summed up per class."""
+    _, bronze = ingest(spark, f"{_csv_days(spark, folder)}/*", scratch_path(spark, "bronze"), FLOW_TYPES)
+    silver = sinks.write_parquet(to_silver(bronze), scratch_path(spark, "silver"))
+    gold, _ = to_gold(silver, stored=True)
+    sums = gold.groupBy("Label", "label_index").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("Flow Duration").alias("duration"), F.sum("hour").cast("long").alias("hours")
+    )
+    return rounded(sums, 2, "duration")
+
+
+@query("audit_silver", "SELECT true AS passed")
+def audit_silver(spark, folder):
+    """The integrity gate on the silver table it was made for: every check passes."""
+    _, bronze = ingest(spark, f"{_csv_days(spark, folder)}/*", scratch_path(spark, "bronze"), FLOW_TYPES)
+    checks = integrity(sinks.write_parquet(to_silver(bronze), scratch_path(spark, "silver")))
+    return checks.agg(F.bool_and("passed").alias("passed"))

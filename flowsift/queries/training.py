@@ -38,7 +38,7 @@ def ml_rf_predict(spark, folder):
 def ml_rf_tune(spark, folder):
     train, _ = _stored(spark, folder)
     grid = {"numTrees": (5, 10), "maxDepth": (3, 5), "featureSubsetStrategy": ("sqrt", "log2")}
-    return training.tune_forest(train, grid, parallelism=4)[1]
+    return training.tune_forest(train, fast_uniform(6, "vec_id"), grid=grid)[1]
 
 
 @query("ml_gbt_ovr_predict")
@@ -50,14 +50,14 @@ def ml_gbt_ovr_predict(spark, folder):
 
 @query("ml_gbt_tune")
 def ml_gbt_tune(spark, folder):
-    """Two combinations, balanced only on the fitted part."""
+    """All eight combinations of small models, balanced only on the fitted part."""
     train, _ = _stored(spark, folder)
     u = fast_uniform(7, "vec_id")
 
     def prepare(part):
         return materialize(sampling.balance(part, fast_uniform(8, "vec_id"), "label_index"), "balanced")
 
-    grid = {"maxIter": (2,), "maxDepth": (2, 3), "stepSize": (0.1,)}
+    grid = {"maxIter": (1, 2), "maxDepth": (2, 3), "stepSize": (0.05, 0.1)}
     return training.tune_gbt(train, u, prepare, grid, parallelism=8)[1]
 
 
@@ -99,7 +99,7 @@ def ml_learning_curve(spark, folder):
         "rf": lambda: training.random_forest(numTrees=5, maxDepth=4),
         "gbt": lambda: training.gbt_one_vs_rest(parallelism=8, maxIter=1, maxDepth=2),
     }
-    return training.learning_curve(train, test, fast_uniform(9, "vec_id"), makers, (0.25, 1.0))
+    return training.learning_curve(train, test, fast_uniform(9, "vec_id"), makers)
 
 
 @query("ml_roc_of_margins")

@@ -140,7 +140,7 @@ def both_models(spark: SparkSession, folder: str) -> DataFrame:
 
 def runlog(spark: SparkSession, folder: str) -> DataFrame:
     """One model per supplier; line number n stands for 4·2ⁿ threads and n quarters of the data."""
-    lines = table(spark, folder, "lineitem").filter(F.col("l_linenumber") <= 4)
+    lines = table(spark, folder, "lineitem")
     n = F.col("l_linenumber")
     cents = F.round(F.col("l_extendedprice") * 100).cast("long")
     return (
@@ -238,7 +238,18 @@ RUNLOG_SQL = """
 runlog AS (
   SELECT l_suppkey AS model, (4 * pow(2, l_linenumber))::INT AS n_threads, l_linenumber / 4.0::DOUBLE AS frac,
          sum(round(l_extendedprice * 100)::BIGINT)::DOUBLE / count(*) / 100 / l_linenumber AS time
-  FROM lineitem WHERE l_linenumber <= 4 GROUP BY l_suppkey, l_linenumber)"""
+  FROM lineitem GROUP BY l_suppkey, l_linenumber)"""
+
+
+def text_of(number: Column) -> Column:
+    """A number as text that both engines write alike, with NaN and infinities by name."""
+    whole = F.round(number * 1000).cast("long").cast("string")
+    return F.when(F.isnan(number), "NaN").when(number == float("inf"), "Infinity").otherwise(whole)
+
+
+def text_of_sql(number: str) -> str:
+    return f"""CASE WHEN isnan({number}) THEN 'NaN' WHEN {number} = 'Infinity'::DOUBLE THEN 'Infinity'
+      ELSE CAST(CAST(round({number} * 1000) AS BIGINT) AS VARCHAR) END"""
 
 
 def over(view: str, body: str) -> str:

@@ -19,6 +19,10 @@ SESSION_OPTIONS = {
 }
 
 
+#: Folders made in this process, by application.
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def build_session(app_name: str = "flowsift", master: str | None = None, **options: str) -> SparkSession:
     """Get or create a session with the options above; `options` win over them."""
     builder = SparkSession.builder.appName(app_name)
@@ -32,18 +36,32 @@ def build_session(app_name: str = "flowsift", master: str | None = None, **optio
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster (`spark.checkpoint.dir`).
 
-    Only where the cluster names none (local tests) a temporary folder is made and set.
+    Only where the cluster names none and the master is local (tests) a temporary folder is made and set: on a cluster the
+    executors would write to their own disks.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="flowsift-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the tables that this session wrote with `materialize` and `scratch_path`; results that still read them are lost."""
+    jvm = spark.sparkContext._jvm
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one run below the shared folder."""
-    return f"{shared_dir(spark)}/flowsift/{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(spark)}/flowsift/{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return f"{folder}/{name}"
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from flowsift.functions.columns import c
 from flowsift.operators.classes import union_by_name
+from flowsift.sources.sinks import CSV_FORM
 
 #: Headers read at the same time.
 _HEADER_JOBS = 16
@@ -32,7 +33,7 @@ def _layouts(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...],
     """Files grouped by their header. Each header is one small read of the first line."""
 
     def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(path).columns)
+        return tuple(spark.read.options(header=True, **CSV_FORM).csv(path).columns)
 
     with ThreadPoolExecutor(_HEADER_JOBS) as pool:
         found = list(pool.map(header, paths))
@@ -42,6 +43,15 @@ def _layouts(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...],
     return groups
 
 
+def _unified(groups: dict[tuple[str, ...], list[str]], declared: dict[str, T.DataType]) -> dict[str, str]:
+    """Name of each column by its trimmed, case-blind key: the declared spelling, else that of the first header."""
+    names = {n.strip().lower(): n for n in declared}
+    for header in groups:
+        for name in header:
+            names.setdefault(name.strip().lower(), name.strip())
+    return names
+
+
 def read_csv(
     spark: SparkSession,
     folder: str,
@@ -49,12 +59,14 @@ def read_csv(
     pattern: str = "*.csv",
     same_layout: bool = False,
     source_file: str = "source_file",
+    multi_line: bool = False,
 ) -> DataFrame:
     """All CSV files of a folder with declared types, tagged with the file they come from.
 
-    `types` gives the type of each column by trimmed name; unnamed columns are text. A value that does not fit
-    becomes null, as does a column a file lacks. Files with equal headers share one scan. `same_layout`
-    skips the look at the headers and takes `types`, then a full schema, as the layout of every file.
+    `types` gives the type of each column by name; unnamed columns are text. Headers that differ only in case or in blanks
+    around a name are one column. A value that does not fit becomes null (`misfits` counts them), as does a column a file
+    lacks. Files with equal headers share one scan. `same_layout` skips the look at the headers and takes `types`, then a full
+    schema, as the layout of every file. `multi_line` allows line breaks inside quotes; a file is then read by one task.
     """
     declared = {f.name: f.dataType for f in types.fields} if isinstance(types, T.StructType) else dict(types)
     paths = list_csv(spark, folder, pattern)
@@ -62,15 +74,55 @@ def read_csv(
         groups = {tuple(declared): [folder]}
     else:
         groups = _layouts(spark, paths)
+    names = _unified(groups, declared)
+    kinds = {n.strip().lower(): t for n, t in declared.items()}
     frames = []
     for header, members in groups.items():
-        schema = T.StructType([T.StructField(n, declared.get(n.strip(), T.StringType())) for n in header])
-        reader = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").option("pathGlobFilter", pattern)
+        schema = T.StructType([T.StructField(n, kinds.get(n.strip().lower(), T.StringType())) for n in header])
+        reader = spark.read.schema(schema).options(
+            header=True, mode="PERMISSIVE", pathGlobFilter=pattern, multiLine=multi_line, enforceSchema=True, **CSV_FORM
+        )
         frame = reader.csv(members)
-        frames.append(frame.select(*[c(n) for n in header], F.col("_metadata.file_name").alias(source_file)))
+        columns = [c(n).alias(names[n.strip().lower()]) for n in header]
+        frames.append(frame.select(*columns, F.col("_metadata.file_name").alias(source_file)))
     return union_by_name(frames)
 
 
+def infer_types(text: DataFrame, exclude: Iterable[str] = ()) -> dict[str, T.DataType]:
+    """The narrowest of bigint, double and text that every value of each text column fits, from one pass over all rows.
+
+    A column without values stays text. Meant for the result of `read_csv` without types; read again with what it gives.
+    """
+    names = [n for n in text.columns if n not in set(exclude)]
+    counts = [F.struct(*[F.count(x).alias(k) for k, x in _as_numbers(n).items()]).alias(f"_{i}") for i, n in enumerate(names)]
+    row = text.agg(*counts).first() if names else []
+    kinds = {}
+    for name, r in zip(names, row):
+        kinds[name] = T.StringType() if not r["text"] or r["double"] < r["text"] else T.DoubleType() if r["bigint"] < r["text"] else T.LongType()
+    return kinds
+
+
+def _as_numbers(name: str) -> dict:
+    value = F.nullif(F.trim(c(name).cast("string")), F.lit(""))
+    return {"text": value, "double": value.try_cast("double"), "bigint": value.try_cast("bigint")}
+
+
+def misfits(text: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
+    """Per column of `types`: values, and those among them that do not fit the type and would be read as null."""
+    kinds = {n: t for n, t in types.items() if n in text.columns}
+    rows = [
+        F.struct(
+            F.lit(n).alias("column"),
+            F.count(c(n)).alias("n_values"),
+            F.count_if(c(n).isNotNull() & F.trim(c(n)).try_cast(t).isNull()).alias("n_misfits"),
+        )
+        for n, t in kinds.items()
+    ]
+    if not rows:
+        return text.sparkSession.createDataFrame([], "column string, n_values long, n_misfits long")
+    return text.agg(F.array(*rows).alias("_r")).select(F.inline("_r"))
+
+
 def rows_per_file(df: DataFrame, source_file: str = "source_file") -> DataFrame:
     return df.groupBy(c(source_file).alias("source_file")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_columns")

@@ -9,6 +9,17 @@ from pyspark.sql import functions as F
 
 from flowsift.functions.columns import c
 
+#: How both sides write and read CSV.
+CSV_FORM = {
+    "escape": '"',
+    "nullValue": "",
+    "emptyValue": '""',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> DataFrame:
     """Write and read back lazily.
@@ -26,17 +37,18 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
 
 def write_report(df: DataFrame, path: str) -> str:
     """One CSV file with header. For reports, which are small by construction; never for rows of a table."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
-    return path
+    return write_csv(df.repartition(1), path)
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV with header that `read_csv` with `multi_line` reads back value by value: blanks kept, quotes doubled, and an empty text
+    (written as `""`) told from a null (written as nothing)."""
+    df.write.mode("overwrite").options(header=True, **CSV_FORM).csv(path)
     return path
 
 
 def write_metrics(df: DataFrame, path: str) -> str:
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.repartition(1).write.mode("overwrite").json(path)
     return path
 
 

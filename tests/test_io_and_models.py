@@ -106,8 +106,10 @@ def test_tuning_keeps_the_parts_apart(spark, gold):
     u = fast_uniform(5, "_id")
     model, report = training.tune_gbt(packed, u, prepare, {"maxIter": (1,), "maxDepth": (2,), "stepSize": (0.1,)})
     assert report.count() == 1 and len(seen["fit"]) == packed.filter(u < 0.75).count()
-    best, grid = training.tune_forest(packed, {"numTrees": (2, 3), "maxDepth": (2,)}, parallelism=2)
+    best, grid = training.tune_forest(packed, u, grid={"numTrees": (2, 3), "maxDepth": (2,)})
     assert grid.count() == 2 and grid.filter("best").count() >= 1
+    again = training.tune_forest(packed.repartition(3), u, grid={"numTrees": (2, 3), "maxDepth": (2,)})[1]
+    assert [r["numTrees"] for r in again.collect()] == [r["numTrees"] for r in grid.collect()]
 
 
 def test_saved_model_predicts_the_same(spark, gold, tmp_path):

@@ -81,7 +81,7 @@ def test_density_close_to_the_unbinned_kernel(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(0, 1, 2000)
     df = spark.createDataFrame([(float(v),) for v in x], "v double")
-    got = sorted((r["x"], r["density"]) for r in dist.density(df, "v", bins=512, grid=50).collect())
+    got = sorted((r["x"], r["density"]) for r in dist.density(df, "v", grid=50).collect())
     width = x.std(ddof=1) * len(x) ** -0.2
     for at, value in got:
         exact_value = np.exp(-0.5 * ((at - x) / width) ** 2).sum() / (len(x) * width * math.sqrt(2 * math.pi))
@@ -91,7 +91,7 @@ def test_density_close_to_the_unbinned_kernel(spark):
 def test_ridge_passes_over_small_classes(spark):
     rows = [("a", float(i)) for i in range(100)] + [("b", float(i)) for i in range(5)]
     df = spark.createDataFrame(rows, "Label string, v double")
-    assert {r["Label"] for r in dist.ridge(df, "v", bins=10, grid=5).collect()} == {"a"}
+    assert {r["Label"] for r in dist.ridge(df, "v", grid=5).collect()} == {"a"}
 
 
 def test_box_stats_against_hand_values(spark):
