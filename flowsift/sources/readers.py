@@ -14,6 +14,8 @@ from flowsift.functions.columns import c
 from flowsift.operators.classes import union_by_name
 from flowsift.sources.sinks import CSV_FORM
 
+#: A field without anything in it is a null, which the parser tells from `""` only by a mark that no text equals.
+_ABSENT = {"nullValue": "\x00", "emptyValue": ""}
 #: Headers read at the same time.
 _HEADER_JOBS = 16
 
@@ -80,7 +82,7 @@ def read_csv(
     for header, members in groups.items():
         schema = T.StructType([T.StructField(n, kinds.get(n.strip().lower(), T.StringType())) for n in header])
         reader = spark.read.schema(schema).options(
-            header=True, mode="PERMISSIVE", pathGlobFilter=pattern, multiLine=multi_line, enforceSchema=True, **CSV_FORM
+            header=True, mode="PERMISSIVE", pathGlobFilter=pattern, multiLine=multi_line, **_ABSENT, **CSV_FORM
         )
         frame = reader.csv(members)
         columns = [c(n).alias(names[n.strip().lower()]) for n in header]

@@ -12,8 +12,6 @@ from flowsift.functions.columns import c
 #: How both sides write and read CSV.
 CSV_FORM = {
     "escape": '"',
-    "nullValue": "",
-    "emptyValue": '""',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -43,7 +41,7 @@ def write_report(df: DataFrame, path: str) -> str:
 def write_csv(df: DataFrame, path: str) -> str:
     """CSV with header that `read_csv` with `multi_line` reads back value by value: blanks kept, quotes doubled, and an empty text
     (written as `""`) told from a null (written as nothing)."""
-    df.write.mode("overwrite").options(header=True, **CSV_FORM).csv(path)
+    df.write.mode("overwrite").options(header=True, nullValue="", emptyValue='""', **CSV_FORM).csv(path)
     return path
 
 

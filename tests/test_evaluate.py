@@ -43,6 +43,13 @@ def test_auc_and_ap(scores, ranges):
     assert auc[3] is None and ap[3] is None
 
 
+def test_scores_that_are_no_numbers_are_an_error(spark):
+    for bad in (float("nan"), None):
+        df = spark.createDataFrame([(0.0, [0.1, 0.9]), (1.0, [bad, 0.5])], "label_index double, scores array<double>")
+        with pytest.raises(Exception, match="null or NaN"):
+            evaluate.ranked_scores(evaluate.scores_long(df, "scores")).collect()
+
+
 def test_curves_end_where_they_should(scores):
     _, df = scores
     ranked = evaluate.ranked_scores(evaluate.scores_long(df, "scores"))

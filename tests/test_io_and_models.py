@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowsift import session
 from flowsift.functions.hashing import fast_uniform
 from flowsift.operators import features, labels, sampling, training
 from flowsift.plans.layers import ingest, to_gold, to_silver
@@ -32,6 +33,53 @@ def test_read_csv_with_drifting_layouts(spark, folder):
     assert [r["Src IP"] for r in df.filter(F.col("`Dst Port`") == 22).collect()] == ["10.0.0.1"]
 
 
+def test_headers_that_drift_are_one_column(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Dst Port, Label\n80,Benign\n")
+    (tmp_path / "b.csv").write_text("dst port ,label\n81,Bot\n")
+    df = readers.read_csv(spark, str(tmp_path), {**TYPES, "Label": T.StringType()})
+    assert sorted((r["Dst Port"], r["Label"]) for r in df.collect()) == [(80, "Benign"), (81, "Bot")]
+    assert df.columns == ["Dst Port", "Label", "source_file"]
+
+
+def test_csv_keeps_every_value(spark, tmp_path):
+    rows = [(1, "  Bot "), (2, "a\nb"), (3, ""), (4, None), (5, 'say "x", y'), (6, "back\\slash"), (7, "é\t")]
+    df = spark.createDataFrame(rows, "i int, t string")
+    back = readers.read_csv(spark, sinks.write_csv(df, str(tmp_path / "out")), df.schema, multi_line=True)
+    assert sorted((r["i"], r["t"]) for r in back.collect()) == rows
+
+
+def test_inferred_types_and_misfits(spark):
+    rows = [("1", "2.5", "x", None), (" 3 ", "4", "5", ""), (None, "nan", "6", None)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string")
+    assert {n: t.simpleString() for n, t in readers.infer_types(df).items()} == {"a": "bigint", "b": "double", "c": "string", "d": "string"}
+    bad = {r["column"]: (r["n_values"], r["n_misfits"]) for r in readers.misfits(df, {"a": T.LongType(), "c": T.IntegerType()}).collect()}
+    assert bad == {"a": (2, 0), "c": (3, 1)}
+
+
+def test_scratch_tables_can_be_released(spark, tmp_path):
+    import glob
+
+    path = session.scratch_path(spark, "x")
+    spark.range(3).write.parquet(path)
+    assert glob.glob(path + "/*.parquet")
+    kept, session._WRITTEN[spark.sparkContext.applicationId] = session._WRITTEN[spark.sparkContext.applicationId], [path.rsplit("/", 1)[0]]
+    session.release(spark)
+    session._WRITTEN[spark.sparkContext.applicationId] = kept[:-1]
+    assert not glob.glob(path)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Conf(dict):
+        def get(self, key, default=None):
+            return dict.get(self, key, default)
+
+    class Fake:
+        conf = Conf({"spark.master": "spark://host:7077"})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Fake())
+
+
 def test_no_csv_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         readers.list_csv(spark, str(tmp_path))

@@ -4,8 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from flowsift.functions.columns import number_or_zero
 from flowsift.operators import distribution as dist
-from flowsift.operators import features, moments, quantiles
+from flowsift.operators import classes, features, moments, quantiles
 from flowsift.operators.quantiles import quantiles as exact
 
 PROBS = {"p0": 0.0, "a": 0.005, "q1": 0.25, "m": 0.5, "q3": 0.75, "z": 0.995, "p1": 1.0}
@@ -85,7 +86,45 @@ def test_density_close_to_the_unbinned_kernel(spark):
     width = x.std(ddof=1) * len(x) ** -0.2
     for at, value in got:
         exact_value = np.exp(-0.5 * ((at - x) / width) ** 2).sum() / (len(x) * width * math.sqrt(2 * math.pi))
-        assert value == pytest.approx(exact_value, abs=2e-4)
+        assert value == pytest.approx(exact_value, rel=1e-8, abs=1e-12)
+
+
+def test_density_with_one_far_outlier(spark):
+    x = np.append(np.random.default_rng(2).normal(0, 1, 20_000), 1000.0)
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    got = sorted((r["x"], r["density"]) for r in dist.density(df, "v", grid=2001).collect())
+    width = x.std(ddof=1) * len(x) ** -0.2
+    near = [(at, value) for at, value in got if abs(at) < 6]
+    assert len(got) == 2001 and near
+    for at, value in near:
+        exact_value = np.exp(-0.5 * ((at - x) / width) ** 2).sum() / (len(x) * width * math.sqrt(2 * math.pi))
+        assert value == pytest.approx(exact_value, rel=1e-6)
+
+
+def test_infinities_and_nan_are_no_numbers(spark):
+    rows = [("a", float(i), float(-i)) for i in range(10)] + [("a", math.inf, 1.0)] * 10 + [("a", math.nan, 2.0), ("a", None, 3.0)]
+    df = spark.createDataFrame(rows, "Label string, v double, w double")
+    box = dist.box_stats(df, ["v"]).first()
+    assert (box["median"], box["n_rows"], box["n_outliers"]) == (4.5, 10, 0)
+    mean = classes.class_mean_std(df, ["v"]).first()
+    assert mean["mean"] == 4.5 and mean["stddev"] == pytest.approx(np.arange(10).std(ddof=1))
+    ellipse = dist.class_ellipse(df, "v", "w").first()
+    assert (ellipse["n_rows"], ellipse["centre_x"]) == (10, 4.5) and ellipse["radius_x"] == pytest.approx(0, abs=1e-6)
+    text = spark.createDataFrame([("nan",), ("x",), (None,), ("2",)], "s string")
+    assert [r[0] for r in text.select(number_or_zero(text["s"])).collect()] == [0, 0, 0, 2]
+
+
+def test_principal_components_like_numpy(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(0, 1, (500, 4)) @ rng.normal(0, 1, (4, 4))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)] + [(900, None, 1.0, 1.0, 1.0)], "i int, a double, b double, c double, d double")
+    names = ["a", "b", "c", "d"]
+    z = (x - x.mean(axis=0)) / x.std(axis=0, ddof=1)
+    _, s, vt = np.linalg.svd(z, full_matrices=False)
+    scree = [r["explained"] for r in features.pca_scree(df, names).collect()]
+    assert scree == pytest.approx(s**2 / (s**2).sum())
+    got = np.array([[r["pc1"], r["pc2"]] for r in features.pca_project(df, names, ["i"]).orderBy("i").collect()])
+    assert got.shape == (500, 2) and np.abs(got) == pytest.approx(np.abs(z @ vt[:2].T), abs=1e-8)
 
 
 def test_ridge_passes_over_small_classes(spark):
