@@ -141,6 +141,20 @@ def feat_anova_p(spark, folder):
     return features.anova_f(feat(spark, folder), _ANOVA_NAMES, "Label")
 
 
+@query(
+    "feat_anova_p_three",
+    over(
+        FEAT_SQL,
+        f""", p AS (SELECT feature, f_score, pow(1 + 2 * f_score / ((SELECT count(*) FROM feat) - 3), -((SELECT count(*) FROM feat) - 3) / 2.0::DOUBLE) AS p
+             FROM ({_anova_sql('rarity')}))
+        SELECT feature, round(f_score, 4) AS f_score, round(p, 8) AS p_value FROM p""",
+    ),
+)
+def feat_anova_p_three(spark, folder):
+    """Three classes, where the tail of the F distribution has a closed form."""
+    return rounded(rounded(features.anova_f(feat(spark, folder), _ANOVA_NAMES, "rarity"), 4, "f_score"), 8, "p_value")
+
+
 _GRAM = ["quantity", "discount", "tax", "linenumber"]
 
 
@@ -186,6 +200,25 @@ def feat_vif(spark, folder):
     return rounded(features.vif(feat(spark, folder), ["quantity", "tax"]), 6, "vif")
 
 
+def _vif3_sql(names: list[str]) -> str:
+    a, b, d = names
+    s = lambda x, y: f"sum({x}::DOUBLE * {y})"
+    det = "aa * (bb * dd - bd * bd) - ab * (ab * dd - bd * ad) + ad * (ab * bd - bb * ad)"
+    rows = ((a, "aa * (bb * dd - bd * bd)"), (b, "bb * (aa * dd - ad * ad)"), (d, "dd * (aa * bb - ab * ab)"))
+    picked = " UNION ALL ".join(f"SELECT '{n}' AS feature, round({e} / ({det}), 6) AS vif, {e} / ({det}) > 10 AS above_limit FROM g" for n, e in rows)
+    return f""", g AS (SELECT {s(a, a)} AS aa, {s(b, b)} AS bb, {s(d, d)} AS dd, {s(a, b)} AS ab, {s(a, d)} AS ad, {s(b, d)} AS bd FROM feat)
+    {picked}"""
+
+
+_VIF3 = ["quantity", "tax", "linenumber"]
+
+
+@query("feat_vif_three", over(FEAT_SQL, _vif3_sql(_VIF3)))
+def feat_vif_three(spark, folder):
+    """Three columns by determinants."""
+    return rounded(features.vif(feat(spark, folder), _VIF3), 6, "vif")
+
+
 @query("feat_vif_all")
 def feat_vif_all(spark, folder):
     names = ["quantity", "price", "discount", "tax", "linenumber", "day_of_week"]

@@ -83,10 +83,13 @@ def src_csv_misfits(spark, folder):
     return readers.misfits(text, {"Timestamp": T.DoubleType(), "Const": T.IntegerType()})
 
 
-@query("src_file_tag")
+@query("src_file_tag", "SELECT event_id % 2 = 0 AS even, count(*) AS n_rows, count(*) AS n_tagged FROM events GROUP BY 1")
 def src_file_tag(spark, folder):
+    """Rows per layout, and those that name a CSV file as their source."""
     path = _csv_days(spark, folder)
-    return readers.read_csv(spark, f"{path}/*", FLOW_TYPES, multi_line=True).select("event_id", "source_file")
+    read = readers.read_csv(spark, f"{path}/*", FLOW_TYPES, multi_line=True)
+    tagged = F.count_if(F.col("source_file").rlike(r"^part-.*\.csv$"))
+    return read.groupBy((F.col("event_id") % 2 == 0).alias("even")).agg(F.count(F.lit(1)).alias("n_rows"), tagged.alias("n_tagged"))
 
 
 @query("src_rows_per_file", over(FLOWS_SQL, "SELECT source_file, count(*) AS n_rows, 9::INT AS n_columns FROM flows GROUP BY 1"))
@@ -147,6 +150,16 @@ def src_footprint(spark, folder):
     return readers.footprint(spark, folder, "*.parquet")
 
 
+@query("src_footprint_truth", "SELECT 3::BIGINT AS n_files, true AS has_size, true AS units_agree")
+def src_footprint_truth(spark, folder):
+    """Three written files are found with their sizes."""
+    path = scratch_path(spark, "footprint")
+    for name in ("nation", "region", "customer"):
+        table(spark, folder, name).repartition(1).write.parquet(f"{path}/{name}")
+    found = readers.footprint(spark, path, "*.parquet")
+    return found.select("n_files", (F.col("size_mb") > 0).alias("has_size"), (F.abs(F.col("size_mb") / 1024 - F.col("size_gb")) < 1e-9).alias("units_agree"))
+
+
 @query(
     "ingest_bronze",
     over(STAGED_SQL, """SELECT "Label", count(*) AS n_rows, round(sum("Flow Duration"), 2) AS duration FROM repaired WHERE "Label" IN (FROM nm) GROUP BY 1"""),

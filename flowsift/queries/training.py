@@ -68,6 +68,24 @@ def ml_score(spark, folder):
     return training.score(training.load_forest(path), test, ("vec_id", "label_index"))
 
 
+@query("model_roundtrip_truth", "SELECT true AS any_rows, true AS all_same")
+def model_roundtrip_truth(spark, folder):
+    return model_roundtrip(spark, folder).select((F.col("n_rows") > 0).alias("any_rows"), (F.col("n_rows") == F.col("n_same")).alias("all_same"))
+
+
+@query("ml_rf_truth", "SELECT true AS all_scored, true AS scores_sum_to_one, true AS predicts_the_best")
+def ml_rf_truth(spark, folder):
+    """What must hold of any fitted forest: every row is scored, its scores sum to one, and the prediction is the best class."""
+    train, test = _stored(spark, folder)
+    scored = training.score(training.random_forest(**FOREST).fit(train), test, ("vec_id", "label_index"))
+    total = F.aggregate("scores", F.lit(0.0), lambda a, x: a + x)
+    return scored.agg(
+        (F.count(F.lit(1)) == test.agg(F.count(F.lit(1))).scalar()).alias("all_scored"),
+        F.bool_and(F.abs(total - 1) < 1e-5).alias("scores_sum_to_one"),
+        F.bool_and(F.get("scores", F.col("prediction").cast("int")) == F.array_max("scores")).alias("predicts_the_best"),
+    )
+
+
 @query("model_roundtrip")
 def model_roundtrip(spark, folder):
     """Rows whose prediction changes when the model is saved and loaded: none may."""
