@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 PIECE_BYTES = 3 << 20
 
@@ -49,6 +50,15 @@ def string_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offs[0] : offs[-1]], offs - offs[0]
 
 
+def short_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """`df`, with its session told to hand texts to Python in batches of at most `rows` rows: a batch of long texts is held several
+    times over outside the heap. A smaller setting of the user's stays."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name, "10000")) <= rows:
+        conf.set(name, str(rows))
+    return df
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `limit` bytes of text each; a longer text is a slice of its own."""
     _, offs = string_buffers(batch.column(column))
@@ -61,13 +71,18 @@ def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iter
 
 
 class Words:
-    """The words of a slice of texts: byte range and 64-bit hash of each, and the range of words of each text."""
+    """The words of a slice of texts: byte range and 64-bit hash of each, and the range of words of each text.
+
+    `cuts` marks bytes at which a word ends and another begins although no blank parts them.
+    """
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray, fold_case: bool = False, hashed: bool = True):
+    def __init__(self, data: np.ndarray, offs: np.ndarray, fold_case: bool = False, hashed: bool = True, cuts: np.ndarray | None = None):
         n = len(data)
         inside = ~_BLANK[data]
         first = np.zeros(n + 1, dtype=bool)
         first[1:n] = ~inside[:-1] if n else False
+        if cuts is not None:
+            first[:n] |= cuts
         first[offs] = True
         first = first[:n] & inside
         self.start = np.flatnonzero(first)

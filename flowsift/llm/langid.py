@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsift.llm.arrays import pieces, string_buffers
+from flowsift.llm.arrays import pieces, short_batches, string_buffers
 
 STRETCH, CONTEXT, SIDE_BY_SIDE = 240, 16, 2048
 UNKNOWN = "und"
@@ -183,20 +183,34 @@ def document_probabilities(net: Network, data: np.ndarray, offs: np.ndarray) ->
     return np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], 1 / max(1, len(net.labels)))
 
 
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+
+
+def has_letter(column: pa.Array, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Texts with a letter of any script; only those without an ASCII one are looked at character by character."""
+    letters, wide = (np.concatenate(([0], np.cumsum(m))) for m in (_LETTER[data], data >= 0x80))
+    found = letters[offs[1:]] > letters[offs[:-1]]
+    for i in np.flatnonzero(~found & (wide[offs[1:]] > wide[offs[:-1]])).tolist():
+        found[i] = any(map(str.isalpha, column[i].as_py()))
+    return found
+
+
 def _predict(net: Network):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array(net.labels, dtype=object)
         for batch in batches:
             for piece in pieces(batch, "text"):
-                p = document_probabilities(net, *string_buffers(piece.column("text")))
+                data, offs = string_buffers(piece.column("text"))
+                p = document_probabilities(net, data, offs)
                 best = p.argmax(axis=1)
-                known = piece.column("lettered").to_numpy(zero_copy_only=False)
+                known = has_letter(piece.column("text"), data, offs)
                 found = [names[b] if k else UNKNOWN for b, k in zip(best.tolist(), known.tolist())]
                 score = np.where(known, np.clip(p[np.arange(len(best)), best], 0, 1), 0.0)
-                rest = [piece.column(c) for c in piece.schema.names if c not in ("text", "lettered")]
+                rest = [piece.column(c) for c in piece.schema.names if c != "text"]
                 yield pa.RecordBatch.from_arrays(
                     [*rest, pa.array(found, pa.string()), pa.array(score, pa.float64())],
-                    names=[*[c for c in piece.schema.names if c not in ("text", "lettered")], "lang_pred", "score"],
+                    names=[*[c for c in piece.schema.names if c != "text"], "lang_pred", "score"],
                 )
 
     return run
@@ -239,11 +253,10 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text", keep:
     A null text and one without any letter get `und` and score 0, as does every text when there is no model. Repeated rows and
     rows with null ids come back one by one; an empty table gives an empty result.
     """
-    lettered = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))
     if net is None:
         return docs.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    source = docs.select(*keep, F.col(text_col).alias("text"), lettered.alias("lettered"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name not in ("text", "lettered"))
+    source = short_batches(docs).select(*keep, F.col(text_col).alias("text"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema if f.name != "text")
     return source.mapInArrow(_predict(net), f"{fields}, lang_pred string, score double")
 
 
@@ -251,12 +264,12 @@ def keep_identified(docs: DataFrame, net: Network | None, least: float, text_col
     """Rows of `docs`, all their columns, whose text has a language: not `und`, and a score of `least` or more."""
     if net is None:
         return docs.limit(0)
-    lettered = docs.where(F.col(text_col).rlike(r"\p{L}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, text_col):
-                p = document_probabilities(net, *string_buffers(piece.column(text_col)))
-                yield piece.filter(pa.array(p.max(axis=1) >= least))
+                data, offs = string_buffers(piece.column(text_col))
+                p = document_probabilities(net, data, offs)
+                yield piece.filter(pa.array((p.max(axis=1) >= least) & has_letter(piece.column(text_col), data, offs)))
 
-    return lettered.mapInArrow(run, docs.schema)
+    return short_batches(docs).mapInArrow(run, docs.schema)
