@@ -41,11 +41,18 @@ class Limits:
             raise ValueError("limits must be positive and the token limit a power of two")
 
 
+#: 1: ASCII letters and digits, 2: punctuation that no subword shares with them, 0: everything else.
+_CHARACTERS = np.zeros(256, np.uint8)
+_CHARACTERS[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_CHARACTERS[list(b'.,!?;:*#$%&()"')] = 2
+
+
 class WordTokenizer:
-    """Ids of whole texts for a tokenizer that never joins what blanks part.
+    """Ids of whole texts for a lower-casing tokenizer that never joins what blanks part, nor letters with punctuation.
 
-    Each distinct word is encoded once and found again by its hash. Words are cut only at ASCII blanks, so a word with another
-    kind of blank or a special token in it is still encoded by the tokenizer itself.
+    Each distinct word is encoded once and found again by its hash. Words are cut at ASCII blanks and where an ASCII letter or
+    digit meets plain punctuation, so a word with another kind of blank or a special token in it is still encoded by the
+    tokenizer itself. New words of letters alone are encoded many at a time and parted by their closing subwords.
     """
 
     def __init__(self, path: str):
@@ -53,6 +60,9 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        vocabulary = self.model.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.closing[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self._clear()
 
     def _clear(self) -> None:
@@ -63,25 +73,43 @@ class WordTokenizer:
     def _learn(self, words: list[str], hashes: list[int]) -> None:
         if len(self.known) + len(words) > CACHE_WORDS:
             self._clear()
-        rows = [e.ids for e in self.model.encode_batch(words, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-        n, flat = len(self.known), np.fromiter((x for r in rows for x in r), np.uint32, int(sizes.sum()))
+        plain = [i for i, w in enumerate(words) if w.isalpha() and max(w) < "\u0130"]
+        groups = [plain[a : a + 200] for a in range(0, len(plain), 200)]
+        lines = self.model.encode_batch_fast([" ".join([words[i] for i in g]) for g in groups], add_special_tokens=False)
+        order, parts, sizes = [], [], []
+        for group, line in zip(groups, lines):
+            ids = np.array(line.ids, np.uint32)
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) == len(group) and (not len(ends) or ends[-1] == len(ids)):
+                order.extend(group)
+                parts.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
+        left = sorted(set(range(len(words))) - set(order))
+        rows = [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast([words[i] for i in left], add_special_tokens=False)]
+        order.extend(left)
+        flat = np.concatenate([*parts, *rows, np.zeros(0, np.uint32)])
+        sizes = np.concatenate([*sizes, np.array([len(r) for r in rows], np.int64)])
+        n = len(self.known)
         end = int(self.bounds[n])
         while end + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while n + len(rows) + 1 > len(self.bounds):
+        while n + len(order) + 1 > len(self.bounds):
             self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
         self.ids[end : end + len(flat)] = flat
-        self.bounds[n + 1 : n + len(rows) + 1] = end + np.cumsum(sizes)
-        self.known.update(zip(hashes, range(n, n + len(rows))))
+        self.bounds[n + 1 : n + len(order) + 1] = end + np.cumsum(sizes)
+        self.known.update(zip([hashes[i] for i in order], range(n, n + len(order))))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, bounds of each text's ids)."""
         data, offs = string_buffers(column)
-        words = Words(data, offs)
+        raw = data.tobytes()
+        kind = _CHARACTERS[data]
+        cuts = np.zeros(len(data), dtype=bool)
+        cuts[1:] = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+        # special tokens are told apart by case, so texts with anything like one are not folded
+        words = Words(data, offs, fold_case=b"<|" not in raw, cuts=cuts)
         distinct, first, code = np.unique(words.hash, return_index=True, return_inverse=True)
         keys = distinct.tolist()
-        raw = data.tobytes()
         for begin in range(0, len(keys), CACHE_WORDS):
             part = keys[begin : begin + CACHE_WORDS]
             missing = [i for i, k in enumerate(part, begin) if k not in self.known]
