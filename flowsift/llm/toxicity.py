@@ -110,6 +110,15 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
+def _all_words(texts: list[str], step: int = 100) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, feature hash, times) of all texts, put together from small slices so that little is held at once."""
+    parts = []
+    for a in range(0, len(texts), step):
+        rows, hashes, times, _ = word_counts(pa.array(texts[a : a + step], pa.string()), None)
+        parts.append(((rows + a).astype(np.int32), hashes, times.astype(np.int32)))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def fit_severity(texts: list[str], toxic: list[bool], levels: int = 3, features: int = 400, least_texts: int = 5, least_gain: float = 15.0) -> SeverityModel:
     """Choose the feature words, grade the toxic texts, and fit the model.
 
@@ -117,7 +126,7 @@ def fit_severity(texts: list[str], toxic: list[bool], levels: int = 3, features:
     the G statistic; `least_gain` of it is asked for.
     """
     y = np.array(toxic, dtype=bool)
-    rows, hashes, times, _ = word_counts(pa.array(texts, pa.string()), None)
+    rows, hashes, times = _all_words(texts)
     distinct, code = np.unique(hashes, return_inverse=True)
     bad = np.bincount(code[y[rows]], minlength=len(distinct)).astype(float)
     good = np.bincount(code[~y[rows]], minlength=len(distinct)).astype(float)
@@ -147,8 +156,8 @@ def train_severity_model(
     id_col: str = "doc_id",
     text_col: str = "text",
     toxic_col: str = "toxic",
-    most_toxic: int = 1500,
-    most_clean: int = 3000,
+    most_toxic: int = 1000,
+    most_clean: int = 2000,
     longest: int = 50_000,
     levels: int = 3,
 ) -> SeverityModel | None:
