@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from flowsift.llm import langid, secrets
 from flowsift.llm.decontaminate import drop_leaks
