@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowsift.llm.arrays import Words, gram_hashes, pieces, string_buffers
+from flowsift.llm.arrays import Words, gram_hashes, pieces, short_batches, string_buffers
 from flowsift.llm.fm_index import FMIndex, repeated_stretches
 from flowsift.session import materialize
 
@@ -284,7 +284,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("id", "text"))
+    return short_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("row", F.xxhash64("id", "text"))
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 35, gram: int = GRAM) -> DataFrame:
