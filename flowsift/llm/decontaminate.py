@@ -127,59 +127,78 @@ def _dense(at: np.ndarray, owner: np.ndarray, least: int, width: int) -> np.ndar
     return np.cumsum(marks)[:-1] > 0
 
 
-def aligned(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int, int] | None:
-    """Fewest edits between `item` and a stretch of `text`, as (edits, begin, end); None above `most`.
+def aligned(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fewest edits between each row of `items` and a stretch of the same row of `texts`: arrays of edits, begins and ends.
 
-    Columns of the table are places of `text`; both ends of `text` are free. `text` is the region with `most` places to spare on
-    either side, so the table is a band around one diagonal.
+    Columns of the tables are places of `texts`; both ends of a text are free. A text is the region with places to spare on
+    either side, so each table is a band around one diagonal.
     """
-    n = len(text)
-    cost = np.zeros(n + 1, np.int64)
-    begin = np.arange(n + 1)
+    rows, n = texts.shape
     places = np.arange(n + 1)
-    for c in item:
-        skip = cost + 1
-        both = np.empty(n + 1, np.int64)
-        start = np.empty(n + 1, np.int64)
-        both[0], start[0] = skip[0], begin[0]
-        swap = cost[:-1] + (text != c)
-        better = swap <= skip[1:]
-        both[1:] = np.where(better, swap, skip[1:])
-        start[1:] = np.where(better, begin[:-1], begin[1:])
-        low = np.minimum.accumulate(both - places)
-        run = low + places
-        source = np.maximum.accumulate(np.where(both - places == low, places, 0))
-        cost, begin = run, start[source]
-    end = int(np.argmin(cost))
-    return (int(cost[end]), int(begin[end]), end) if cost[end] <= most else None
-
-
-def _verified(index: BenchmarkIndex, item: int, low: int, high: int, diagonal: int, text: np.ndarray):
-    """Best alignment of the item's stretch [low, high) near `diagonal`: (begin, end, item begin, item end, edits) or None."""
+    cost = np.zeros((rows, n + 1), np.int64)
+    begin = np.broadcast_to(places, cost.shape)
+    for j in range(items.shape[1]):
+        both = cost + 1
+        start = begin.copy()
+        swap = cost[:, :-1] + (texts != items[:, j : j + 1])
+        better = swap <= both[:, 1:]
+        both[:, 1:] = np.where(better, swap, both[:, 1:])
+        start[:, 1:] = np.where(better, begin[:, :-1], begin[:, 1:])
+        both -= places
+        low = np.minimum.accumulate(both, axis=1)
+        source = np.maximum.accumulate(np.where(both == low, places, 0), axis=1)
+        cost, begin = low + places, np.take_along_axis(start, source, axis=1)
+    end = cost.argmin(axis=1)
+    each = np.arange(rows)
+    return cost[each, end], begin[each, end], end
+
+
+#: Stretches that are aligned at once, and a byte that no text holds (0xFF is not in UTF-8).
+_AT_ONCE, _NOTHING = 128, 0xFF
+
+
+def _verified(index: BenchmarkIndex, item: int, spots: np.ndarray, diagonal: int, text: np.ndarray):
+    """Best alignment of a stretch of the item near `diagonal`: (begin, end, item begin, item end, edits) or None.
+
+    `spots` are the places of shared q-grams in the item. If they span more than the region length and all of that is within the
+    edits of its length, it is taken whole. Else every stretch of the region length with enough of them is aligned, so by the
+    lemma none within the edits is missed; the one with the fewest edits is taken.
+    """
     whole = index.item_text(item)
-    n, _, _ = index.bounds[item]
+    n, _, least = index.bounds[item].tolist()
     budget = index.budget
-    if high - low < n:
-        spare = n - (high - low)
-        low = max(0, low - spare // 2)
-        high = min(len(whole), low + n)
-        low = max(0, high - n)
-
-    def check(a: int, z: int):
-        most = budget.edits * (z - a) // budget.length
-        at = a + diagonal
-        if 0 <= at and at + z - a <= len(text) and np.array_equal(text[at : at + z - a], whole[a:z]):
-            return at, at + z - a, a, z, 0
+    low, high = int(spots[0]), int(spots[-1]) + budget.q
+
+    def check(starts: np.ndarray, size: int):
+        most = budget.edits * size // budget.length
         room = most + 2 * budget.edits + 2
-        left = max(0, at - room)
-        got = aligned(whole[a:z], text[left : max(left, min(len(text), z + diagonal + room))], most)
-        return None if got is None else (left + got[1], left + got[2], a, z, got[0])
-
-    found = check(low, high)
-    if found is None:
-        tries = [check(a, a + int(n)) for a in range(low, high - int(n) + 1, max(1, int(n) // 8))]
-        good = [x for x in tries if x is not None]
-        found = min(good, key=lambda x: x[4]) if good else None
+        wide = size + 2 * room
+        left = np.clip(starts + diagonal - room, 0, len(text))
+        first, last = int(left[0]), min(len(text), int(left[-1]) + wide)
+        near = np.full(int(left[-1]) + wide - first, _NOTHING, np.uint8)
+        near[: last - first] = text[first:last]
+        cost, begin, end = aligned(whole[starts[:, None] + np.arange(size)], near[(left - first)[:, None] + np.arange(wide)])
+        k = int(cost.argmin())
+        if cost[k] > most:
+            return None
+        return int(left[k] + begin[k]), int(left[k] + end[k]), int(starts[k]), int(starts[k]) + size, int(cost[k])
+
+    if high - low >= n:
+        at = low + diagonal
+        if 0 <= at and at + high - low <= len(text) and np.array_equal(text[at : at + high - low], whole[low:high]):
+            return at, at + high - low, low, high, 0
+        if high - low > n and (found := check(np.array([low]), high - low)):
+            return found
+    starts = np.arange(max(0, low - n), min(high, len(whole) - n) + 1)
+    held = np.searchsorted(spots, starts + n - budget.q, side="right") - np.searchsorted(spots, starts)
+    starts = starts[held >= least]
+    found = None
+    for k in range(0, len(starts), _AT_ONCE):
+        got = check(starts[k : k + _AT_ONCE], n)
+        if got and (found is None or got[4] < found[4]):
+            found = got
+            if found[4] == 0:
+                break
     return found
 
 
@@ -231,7 +250,7 @@ def regions(index: BenchmarkIndex, data: np.ndarray, offs: np.ndarray) -> list[t
                 had = best.get((doc, i))
                 if had and had[6] == 0 and had[4] <= low and had[5] >= high:
                     continue
-                got = _verified(index, i, low, high, middle, text[bounds[doc] : bounds[doc + 1]])
+                got = _verified(index, i, part, middle, text[bounds[doc] : bounds[doc + 1]])
                 if got and (had is None or (got[4], got[2] - got[3]) < (had[6], had[4] - had[5])):
                     first, last = place[bounds[doc] + got[0]], place[bounds[doc] + max(got[0], got[1] - 1)]
                     best[(doc, i)] = (doc, i, int(first), int(last) + 1, got[2], got[3], got[4])
