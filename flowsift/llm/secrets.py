@@ -85,17 +85,18 @@ def _places(scanned: DataFrame) -> DataFrame:
 def _near(left: DataFrame, right: DataFrame, scope: int) -> DataFrame:
     """Rows of `left` with a row of `right` of the same text at most `scope` characters away and not overlapping.
 
-    Interval join on bins as wide as the scope: each right part is entered in its bin and the two beside it. A scope holds a
-    bounded number of parts, so no bin of one text grows with the data.
+    The distance is the gap: from the end of the earlier part to the start of the later one, however long either is. Interval
+    join on bins as wide as the scope, by the two ends that face each other: on side 0 `right` comes first, its end is entered in
+    its bin and the next, and meets the start of `left`; on side 1 its start is entered in its bin and the one before, and meets
+    the end of `left`. A scope holds a bounded number of parts, so no bin of one text grows with the data.
     """
-    bins = F.floor(F.col("start") / scope)
-    one = left.withColumn("bin", bins)
-    # of each bin only the outermost parts can decide whether one is near enough on either side
-    two = right.select(F.col("row"), F.col("start").alias("s"), F.col("end").alias("e"), bins.alias("b"))
-    two = two.select("row", "s", "e", F.explode(F.array("b", F.col("b") - 1, F.col("b") + 1)).alias("bin"))
-    apart = (F.col("e") <= F.col("start")) | (F.col("end") <= F.col("s"))
-    close = (F.col("start") - F.col("s") <= scope) & (F.col("s") - F.col("start") <= scope)
-    return one.join(two, (one["row"] == two["row"]) & (one["bin"] == two["bin"]) & close & apart, "left_semi").drop("bin")
+    of = lambda side, place, more=0: F.struct(F.lit(side).alias("side"), (F.floor(place / scope) + more).alias("bin"))
+    one = left.withColumn("at", F.explode(F.array(of(0, F.col("start")), of(1, F.col("end")))))
+    entries = F.explode(F.array(of(0, F.col("end")), of(0, F.col("end"), 1), of(1, F.col("start")), of(1, F.col("start"), -1)))
+    two = right.select(F.col("row").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"), entries.alias("near"))
+    gap = F.when(F.col("at.side") == 0, F.col("start") - F.col("e")).otherwise(F.col("s") - F.col("end"))
+    same = (F.col("row") == F.col("r")) & (F.col("at.side") == F.col("near.side")) & (F.col("at.bin") == F.col("near.bin"))
+    return one.join(two, same & gap.between(0, scope), "left_semi").drop("at").distinct()
 
 
 def link_parts(places: DataFrame, scope: int = SCOPE) -> DataFrame:

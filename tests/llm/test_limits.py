@@ -4,7 +4,7 @@ import random
 
 import pyarrow as pa
 
-from flowsift.llm import decontaminate
+from flowsift.llm import decontaminate, secrets
 from flowsift.llm.arrays import string_buffers
 
 
@@ -58,3 +58,41 @@ def test_stretches_with_edits_like_brute_force():
     for i, (_, _, begin, end, a, z, edits) in got.items():
         assert edits <= 5 * (z - a) // 80 and (z - a > 80 or edits == expected[i])
         assert edits == _least_edits(item[a:z], "".join(texts)[begin:end], z - a)
+
+
+def _kinds(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: [(s["kind"], s["start"]) for s in r.spans] for r in secrets.find_secrets(df).collect()}
+
+
+def test_the_scope_is_the_gap_between_parts(spark):
+    long, name, point = "ab12" * 300, "ASIA12345678AB", "https://a.example.com"
+    texts = [
+        f"secret = {long} {name} {point}",
+        f"{point} {name} secret = {long}",
+        f"{long} {name}",
+        f"{long}{' ' * 400}{name}",
+        f"{long}{' ' * 401}{name}",
+        f"{name}{' ' * 400}{long}",
+        f"{name}{' ' * 401}{long}",
+    ]
+    got = {i: {k for k, _ in found} for i, found in _kinds(spark, texts).items()}
+    assert got[0] == got[1] == {"assign", "hex", "weak_id", "endpoint"}
+    assert got[2] == got[3] == got[5] == {"hex", "weak_id"} and got[4] == got[6] == {"hex"}
+    df = spark.createDataFrame([(1, texts[0])], "doc_id long, text string")
+    assert name not in secrets.redact_secrets(df).first().text
+
+
+def test_near_parts_like_brute_force(spark):
+    rng, rows = random.Random(3), []
+    for row in range(40):
+        at = 0
+        for _ in range(rng.randint(2, 9)):
+            start = at + rng.choice([0, 1, 399, 400, 401, rng.randint(0, 900)])
+            at = start + rng.choice([1, 20, 400, rng.randint(1, 3000)])
+            rows.append((row, rng.randint(0, 1), start, at))
+    places = spark.createDataFrame(rows, "row long, kind int, start long, end long")
+    got = secrets._near(places.where("kind = 0"), places.where("kind = 1"), 400).collect()
+    gap = lambda a, b: max(a[2] - b[3], b[2] - a[3])
+    expected = [a for a in rows if a[1] == 0 and any(b[1] == 1 and b[0] == a[0] and 0 <= gap(a, b) <= 400 for b in rows)]
+    assert sorted(map(tuple, got)) == sorted(expected) and expected
