@@ -20,7 +20,7 @@ HEX = r"[0-9a-f]{32,}"
 ASSIGN_WORDS = ["password", "passwd", "secret", "token", "apikey", "api_key"]
 # Weak parts, reported only in company.
 WEAK_ID = r"\b(?:AKIA[A-Z0-9]{1,11}|(?:ASIA|AGPA|AIDA|AROA)[A-Z0-9]{8,})\b"
-WEAK_KEY = r"(?<![A-Za-z0-9+/_.=-])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{20,128}={0,2}(?![A-Za-z0-9+/_=-])"
+WEAK_KEY = r"(?<![A-Za-z0-9+/_.=-])(?=[a-z0-9+/]*+[A-Z])(?=[A-Z0-9+/]*+[a-z])(?=[A-Za-z+/]*+[0-9])[A-Za-z0-9+/]{20,}+={0,2}(?![A-Za-z0-9+/_=-])"
 ENDPOINT = r"\bhttps?://[A-Za-z0-9.-]+(?::[0-9]+)?|(?<![A-Za-z0-9.@-])[a-z0-9-]+(?:\.[a-z0-9-]+)*\.amazonaws\.com"
 
 KINDS = ["assign", "access", "hex", "weak_id", "weak_key", "endpoint"]

@@ -96,3 +96,15 @@ def test_near_parts_like_brute_force(spark):
     gap = lambda a, b: max(a[2] - b[3], b[2] - a[3])
     expected = [a for a in rows if a[1] == 0 and any(b[1] == 1 and b[0] == a[0] and 0 <= gap(a, b) <= 400 for b in rows)]
     assert sorted(map(tuple, got)) == sorted(expected) and expected
+
+
+def test_a_bare_key_of_any_length(spark):
+    rng = random.Random(5)
+    key = lambda n: "aB3" + "".join(rng.choice("abcXYZ019+/") for _ in range(n - 3))
+    lengths = [19, 20, 128, 129, 400, 200_000]
+    keys = [key(n) for n in lengths] + [key(400) + "=="]
+    texts = [f"ASIA12345678ABCDEF01 {k} " for k in keys] + ["ASIA12345678ABCDEF01 " + key(400) + "_x"]
+    got = _kinds(spark, texts)
+    assert [("weak_key", 21) in got[i] for i in range(8)] == [False, True, True, True, True, True, True, False]
+    sent = secrets.redact_secrets(spark.createDataFrame([(1, texts[4])], "doc_id long, text string")).first().text
+    assert sent == "ASIA12345678ABCDEF01 [SECRET] "
