@@ -1,7 +1,8 @@
 """Personal data: base patterns, and a skip-chain conditional random field that carries their labels to repeated mentions.
 
 Tokens that hold a digit or an @ are the nodes (all others can only be `other`). Neighbouring tokens are tied by a chain, and tokens of
-one document that repeat or resemble each other, however far apart, by skip edges with shared potentials. Tokens inside base
+one document that repeat or resemble each other, however far apart, by skip edges with shared potentials: to the
+observed mentions next to them on either side or, where none is observed, to the previous mention. Tokens inside base
 matches are observed; loopy message passing gives the others their label, so that a number once written as a phone number is one
 everywhere in the document. A span is added only where its tokens hang together with an observed one.
 
@@ -35,6 +36,8 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 #: Probability an added token must have, rounds of message passing, and digits from which on numbers are compared.
 SURE, ROUNDS, DIGITS = 0.9, 12, 6
+#: Messages (logarithms) that change by no more stand still.
+STILL = 1e-4
 
 
 def _luhn(digits: str) -> bool:
@@ -134,7 +137,7 @@ class Graph:
         self.skip: list[tuple[int, int]] = []
 
     def add(self, doc: int, text: str, spans: list[tuple[int, int, int]]) -> None:
-        last_index, last_node, seen, s = -2, -1, {}, 0
+        last_index, last_node, mentions, s = -2, -1, {}, 0
         for index, m in enumerate(_TOKEN.finditer(text)):
             token = m[0]
             digits = _NOT_DIGIT.sub("", token)
@@ -156,10 +159,26 @@ class Graph:
             if last_index == index - 1:
                 self.chain.append((last_node, node))
             for key in _keys(core, digits):
-                if key in seen and seen[key] != node:
-                    self.skip.append((seen[key], node))
-                seen[key] = node
+                mentions.setdefault(key, []).append(node)
             last_index, last_node = index, node
+        for same in mentions.values():
+            self._tie(same)
+
+    def _tie(self, same: list[int]) -> None:
+        """Tie mentions, which come in order, to the observed ones before and after them, however many others lie between; where
+        none is observed, each to the previous one."""
+        if not any(self.label[node] > 0 for node in same):
+            self.skip.extend(zip(same[:-1], same[1:]))
+            return
+        known, waiting = -1, []
+        for node in same:
+            if known >= 0:
+                self.skip.append((known, node))
+            if self.label[node] > 0:
+                self.skip.extend((other, node) for other in waiting)
+                known, waiting = node, []
+            else:
+                waiting.append(node)
 
     def edges(self) -> tuple[np.ndarray, np.ndarray]:
         return np.array(self.chain, np.int64).reshape(-1, 2), np.array(self.skip, np.int64).reshape(-1, 2)
@@ -203,7 +222,7 @@ def fit_skip_chain(graph: Graph, steps: int = 300, hidden: float = 0.5, seed: in
 
 
 def marginals(graph: Graph, model: SkipChain) -> np.ndarray:
-    """Label probabilities of all nodes by loopy message passing (sums of products, logarithms, damped)."""
+    """Label probabilities of all nodes by loopy message passing (sums of products, logarithms, damped), until no message changes."""
     width = model.chain.shape[0]
     own = np.array(graph.features, float) @ model.node
     seen = np.array(graph.label)
@@ -219,14 +238,27 @@ def marginals(graph: Graph, model: SkipChain) -> np.ndarray:
         [np.broadcast_to(w, (n, width, width)) for w, n in ((model.chain, c), (model.chain.T, c), (model.skip, s), (model.skip.T, s))]
     )
     message = np.zeros((len(source), width))
-    for _ in range(ROUNDS if len(source) else 0):
+    # documents are apart from each other: each goes on until its messages stand still, at most twice (for the damping) its longest possible chain
+    doc = np.unique(np.array([w[0] for w in graph.where], np.int64), return_inverse=True)[1]
+    most = ROUNDS + 2 * np.bincount(doc)
+    live = np.arange(len(source))
+    rounds = 0
+    while len(live):
+        rounds += 1
+        place = np.empty(len(source), np.int64)
+        place[live] = np.arange(len(live))
+        begin, end, opposite, ties, sent = source[live], target[live], place[back[live]], tie[live], message[live]
         belief = own.copy()
-        np.add.at(belief, target, message)
-        out = (belief[source] - message[back])[:, :, None] + tie
+        np.add.at(belief, end, sent)
+        out = (belief[begin] - sent[opposite])[:, :, None] + ties
         top = out.max(axis=1)
         new = top + np.log(np.exp(out - top[:, None, :]).sum(axis=1))
         new -= new.max(axis=1, keepdims=True)
-        message = 0.3 * message + 0.7 * new
+        message[live] = 0.3 * sent + 0.7 * new
+        if rounds >= ROUNDS:
+            change = np.zeros(len(most))
+            np.maximum.at(change, doc[begin], np.abs(new - sent).max(axis=1))
+            live = live[((change > STILL) & (rounds < most))[doc[begin]]]
     belief = own.copy()
     np.add.at(belief, target, message)
     p = np.exp(belief - belief.max(axis=1, keepdims=True))

@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pyarrow as pa
 
-from flowsift.llm import decontaminate, secrets
+from flowsift.llm import decontaminate, pii, secrets
 from flowsift.llm.arrays import string_buffers
 
 
@@ -108,3 +109,36 @@ def test_a_bare_key_of_any_length(spark):
     assert [("weak_key", 21) in got[i] for i in range(8)] == [False, True, True, True, True, True, True, False]
     sent = secrets.redact_secrets(spark.createDataFrame([(1, texts[4])], "doc_id long, text string")).first().text
     assert sent == "ASIA12345678ABCDEF01 [SECRET] "
+
+
+def _field():
+    """A field fitted on made texts with one phone number or address each, and other numbers."""
+    rng, graph = random.Random(2), pii.Graph()
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    for i in range(300):
+        text = f"Call +1 ({digits(3)}) {digits(3)}-{digits(4)} or mail n{digits(2)}@mail.example.com in room {digits(4)}"
+        graph.add(i, *pii.with_mentions(text, pii.base_spans(text)))
+    return pii.fit_skip_chain(graph)
+
+
+def test_fifty_mentions_far_from_the_observed_one():
+    model, number = _field(), "+1 (521) 555-6210"
+    for text in (
+        f"Call {number} now" + "".join(f", or 555-6210 at {'x' * (k % 7 + 1)}" for k in range(50)),
+        "".join(f"or 555-6210 at {'x' * (k % 7 + 1)}, " for k in range(50)) + f"that is {number} now",
+    ):
+        graph = pii.Graph()
+        graph.add(0, text + "; room 555-0000 is another", pii.base_spans(text))
+        found = [text[a:z] for _, a, _, z in pii.added_spans(graph, model)]
+        assert found == ["555-6210"] * 50
+
+
+def test_messages_reach_the_end_of_a_long_chain():
+    graph, n = pii.Graph(), 60
+    graph.features, graph.label = [[1.0] + [0.0] * (pii._SHAPES - 1)] * n, [1] + [-1] * (n - 1)
+    graph.where, graph.chain = [(0, i, i + 1) for i in range(n)], [(i, i + 1) for i in range(n - 1)]
+    width = len(pii.KINDS) + 1
+    model = pii.SkipChain(np.zeros((pii._SHAPES, width)), 8.0 * np.eye(width), np.zeros((width, width)))
+    step = np.exp(model.chain) / np.exp(model.chain).sum(axis=1, keepdims=True)
+    exact = np.array([np.linalg.matrix_power(step, i)[1] for i in range(n)])
+    assert np.abs(pii.marginals(graph, model) - exact).max() < 0.01
