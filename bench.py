@@ -61,12 +61,12 @@ def forest_fit(spark, folder: str) -> float:
     """Seconds of one fit of 200 trees of depth 10 on all rows of `feat` (not part of the total)."""
     from flowsift.operators import features, training
     from flowsift.queries.views import feat
-    from flowsift.session import materialize
 
     names = ["quantity", "price", "discount", "tax", "linenumber", "price_net", "day_of_week"]
     rows = features.assemble(features.label_index(feat(spark, folder), "rarity"), names).select("label_index", "features")
-    estimator = training.random_forest(numTrees=200, maxDepth=10, maxBins=16)
-    return round(training.fit_timed(estimator, materialize(rows, "fit"))[1], 3)
+    stored = training.store_for_fit(rows)
+    estimator = training.sized_forest(stored, numTrees=200, maxDepth=10, maxBins=16)
+    return round(training.fit_timed(estimator, stored)[1], 3)
 
 
 def main() -> None:

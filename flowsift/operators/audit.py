@@ -79,17 +79,27 @@ def constant_columns(df: DataFrame, names: Sequence[str] | None = None) -> DataF
 
 
 def describe(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
-    """Count, mean, sample deviation, minimum and maximum per numeric column."""
-    names = list(names or numeric_columns(df))
+    """Count, mean, sample deviation, minimum and maximum per column, numbers by value and texts by byte order.
+
+    All columns of numbers, texts, dates, times and booleans unless `names` are given. Numbers have `mean`, `stddev`, `min` and
+    `max`, the others `first` and `last` (the smallest and largest value as text); NaN is the largest number. One pass.
+    """
+    kinds = dict(df.dtypes)
+    names = list(names or [n for n in df.columns if not kinds[n].startswith(("array", "map", "struct", "binary", "variant"))])
+    numbers = set(numeric_columns(df.select(*[c(n) for n in names])))
+    number = lambda n: c(n).cast("double") if n in numbers else F.lit(None).cast("double")
+    other = lambda n: F.lit(None).cast("string") if n in numbers else c(n)
     return per_column(
         df,
         names,
         {
             "n": lambda n: F.count(c(n)),
-            "mean": lambda n: F.avg(c(n).cast("double")),
-            "stddev": lambda n: F.stddev_samp(c(n).cast("double")),
-            "min": lambda n: F.min(c(n).cast("double")),
-            "max": lambda n: F.max(c(n).cast("double")),
+            "mean": lambda n: F.avg(number(n)),
+            "stddev": lambda n: F.stddev_samp(number(n)),
+            "min": lambda n: F.min(number(n)),
+            "max": lambda n: F.max(number(n)),
+            "first": lambda n: F.min(other(n)).cast("string"),
+            "last": lambda n: F.max(other(n)).cast("string"),
         },
     )
 

@@ -9,8 +9,6 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -21,6 +19,7 @@ from flowsift.functions.columns import c, number_or_zero, per_column
 from flowsift.functions.hashing import fast_uniform, row_key
 from flowsift.operators.distribution import high_pairs
 from flowsift.operators.moments import correlation, gram
+from flowsift.operators.training import sized_forest, store_for_fit
 
 CORRELATION_LIMIT, VIF_LIMIT, VARIANCE_SHARE = 0.95, 10.0, 0.95
 
@@ -87,12 +86,10 @@ def rf_importance(
     """Features ranked by random-forest importance, fitted on all rows or on a `share` of them drawn by a hash of the row."""
     if share < 1:
         df = df.filter(fast_uniform(seed, row_key(df)) < share)
-    forest = RandomForestClassifier(
-        featuresCol="_features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed, maxBins=max_bins
-    )
     packer = VectorAssembler(inputCols=list(names), outputCol="_features", handleInvalid="skip")
-    model = Pipeline(stages=[packer, forest]).fit(df.select(*[c(n) for n in names], c(label)))
-    weights = model.stages[-1].featureImportances.toArray()
+    packed = store_for_fit(packer.transform(df.select(*[c(n) for n in names], c(label))).select("_features", c(label)), "importance")
+    model = sized_forest(packed, label, "_features", numTrees=trees, maxDepth=depth, seed=seed, maxBins=max_bins).fit(packed)
+    weights = model.featureImportances.toArray()
     order = sorted(range(len(names)), key=lambda i: (-weights[i], names[i]))
     rows = [(rank + 1, names[i], float(weights[i])) for rank, i in enumerate(order)]
     return df.sparkSession.createDataFrame(rows, "rank int, feature string, importance double")

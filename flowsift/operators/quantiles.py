@@ -2,7 +2,8 @@
 
 The built-in exact `percentile` holds every distinct value of a group in one task. Here a mergeable sketch first
 brackets each wanted rank, then one pass counts the rows between the brackets and keeps single values only inside
-them. What is sorted in the end is a tiny share of the column, and the answer is still exact.
+them. What is sorted in the end is a tiny share of the column, and the answer is still exact: a rank that its bracket misses is
+looked for again in a wider one.
 """
 
 from __future__ import annotations
@@ -16,10 +17,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.functions.columns import c, fetch_small, join_on
+from flowsift.session import materialize
 
 #: Sketch accuracies; the finer one is used for columns too long for the first.
 COARSE, FINE = 10_000, 200_000
 _FINE_FROM_ROWS = 10_000_000_000
+#: Half the width of a bracket, in errors of the sketch; a missed rank is looked for with `WIDER` times as much.
+MARGIN, WIDER = 2.0, 64.0
 #: Up to so many quantiles the bracket edges are compared one by one in generated code.
 UNROLLED_PROBS = 4
 
@@ -29,28 +33,40 @@ def _number(name: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def _brackets(df: DataFrame, names: Sequence[str], probs: Sequence[float], by: Sequence[str], accuracy: int) -> DataFrame:
+def _brackets(df: DataFrame, names: Sequence[str], probs: Sequence[float], by: Sequence[str], accuracy: int, errors: float) -> DataFrame:
     """Per group: count `_n` and bracket edges `_e` (lower ones, then upper ones) of each column.
 
-    The sketch is off by at most n / accuracy ranks and the margin is twice that. A group too short for the
+    The sketch is off by at most n / accuracy ranks and the margin is `errors` times that. A group too short for the
     margin to hold the neighbours of a rank as well is bracketed whole.
     """
-    margin, m = 2.0 / accuracy, len(probs)
-    wanted = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    margin, m = errors / accuracy, len(probs)
+    wanted = [min(1.0, max(0.0, p - margin)) for p in probs] + [max(0.0, min(1.0, p + margin)) for p in probs]
     whole = F.array(*[F.lit(-math.inf)] * m, *[F.lit(math.inf)] * m)
     aggs = []
     for i, name in enumerate(names):
         aggs.append(F.count(_number(name)).alias(f"_n{i}"))
         aggs.append(F.approx_percentile(_number(name), wanted, accuracy).alias(f"_s{i}"))
     sketched = df.groupBy(*[c(b) for b in by]).agg(*aggs)
-    edges = {f"_e{i}": F.when(F.col(f"_n{i}") > 4 * accuracy, F.col(f"_s{i}")).otherwise(whole) for i in range(len(names))}
+    bracketed = (lambda i: F.col(f"_n{i}") > 4 * accuracy) if margin < 1 else (lambda i: F.lit(False))
+    edges = {f"_e{i}": F.when(bracketed(i), F.col(f"_s{i}")).otherwise(whole) for i in range(len(names))}
     return sketched.withColumns(edges).drop(*[f"_s{i}" for i in range(len(names))])
 
 
+def _bisect(m: int, edges: Column, goes_on) -> Column:
+    """How many of `m` rising edges, from the first on, meet `goes_on`: steps of falling powers of two."""
+    steps = [2**k for k in reversed(range(m.bit_length()))]
+
+    def move(at: Column, step: Column) -> Column:
+        there = at + step
+        return F.when((there <= m) & goes_on(F.get(edges, there - 1)), there).otherwise(at)
+
+    return F.aggregate(F.lit(np.array(steps, dtype="int32")), F.lit(0), move)
+
+
 def _edges_below(m: int, edges: Sequence[Column], arrays: tuple[Column, Column], value: Column) -> tuple[Column, Column]:
-    """Lower edges reached and upper edges passed by a value: plain comparisons if few, an array scan if many."""
+    """Lower edges reached and upper edges passed by a value: plain comparisons if few, bisection if many."""
     if m > UNROLLED_PROBS:
-        return F.size(F.filter(arrays[0], lambda e: e <= value)), F.size(F.filter(arrays[1], lambda e: e < value))
+        return _bisect(m, arrays[0], lambda e: e <= value), _bisect(m, arrays[1], lambda e: e < value)
     reached = [F.when(e <= value, 1).otherwise(0) for e in edges[:m]]
     passed = [F.when(e < value, 1).otherwise(0) for e in edges[m:]]
     return reduce(lambda a, b: a + b, reached), reduce(lambda a, b: a + b, passed)
@@ -87,24 +103,48 @@ def quantiles_long(
 ) -> DataFrame:
     """Linearly interpolated quantiles, one row per group, column and entry of `probs` (`pos` is its place).
 
-    Null and NaN are left out. Result columns: `by`, `column`, `n`, `pos`, `prob`, `value`.
+    Null and NaN are left out. Result columns: `by`, `column`, `n`, `pos`, `prob`, `value`. The two values around each rank, one row
+    per result row, are written to the shared folder; those that a bracket missed are found in the next round.
     """
     order = sorted(range(len(probs)), key=lambda k: probs[k])
     ps = [float(probs[k]) for k in order]
-    m = len(ps)
     slim = df.select(*[c(b) for b in by], *[c(n) for n in names])
+    errors, found, keys = MARGIN, None, [*by, "_i", "prob"]
+    while True:
+        picked = materialize(_around_ranks(slim, names, ps, by, accuracy, errors), "ranks")
+        hit = picked.filter(F.col("_lo").isNotNull() & F.col("_hi").isNotNull())
+        if found is not None:  # what an earlier round found stands
+            there = reduce(lambda a, b: a & b, [hit[k].eqNullSafe(found[k]) for k in keys])
+            hit = found.unionByName(hit.join(found, there, "left_anti"))
+        missed = picked.count() - hit.count()
+        found = hit
+        if not missed:
+            break
+        errors = max(1.0, errors) * WIDER
+    lo, hi, position = F.col("_lo"), F.col("_hi"), F.col("prob") * (F.col("n") - 1)
+    value = F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (position - F.floor(position)))
+    place = F.element_at(F.lit(np.array(order, dtype="int32")), F.array_position(_doubles(ps), F.col("prob")).cast("int"))
+    column = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_i") + 1)
+    return found.select(*[c(b) for b in by], column.alias("column"), "n", place.alias("pos"), "prob", value.alias("value"))
+
+
+def _around_ranks(
+    slim: DataFrame, names: Sequence[str], ps: Sequence[float], by: Sequence[str], accuracy: int | None, errors: float
+) -> DataFrame:
+    """Per group, column and rising entry of `ps`: `n`, and the values `_lo` and `_hi` around its rank, null where a bracket missed it."""
+    m = len(ps)
 
     def too_long(counts) -> bool:
         return accuracy is None and max((n or 0 for n in counts), default=0) > _FINE_FROM_ROWS
 
     counts = [f"_n{i}" for i in range(len(names))]
-    brackets = _brackets(slim, names, ps, by, accuracy or COARSE)
+    brackets = _brackets(slim, names, ps, by, accuracy or COARSE, errors)
     if by:
         small = fetch_small(brackets)
         if small is not None and too_long(v for n in counts for v in small.column(n).to_pylist()):
-            brackets = _brackets(slim, names, ps, by, FINE)
+            brackets = _brackets(slim, names, ps, by, FINE, errors)
             small = fetch_small(brackets)
-        side = brackets if small is None else F.broadcast(df.sparkSession.createDataFrame(small, brackets.schema))
+        side = brackets if small is None else F.broadcast(slim.sparkSession.createDataFrame(small, brackets.schema))
         joined = join_on(slim, side, by)
         unrolled = range(2 * m) if m <= UNROLLED_PROBS else ()
         edges = [[F.get(F.col(f"_e{i}"), k) for k in unrolled] for i in range(len(names))]
@@ -112,7 +152,7 @@ def quantiles_long(
     else:
         joined, row = slim, brackets.first()
         if too_long(row[n] for n in counts):
-            row = _brackets(slim, names, ps, by, FINE).first()
+            row = _brackets(slim, names, ps, by, FINE, errors).first()
         edges = [[F.lit(v) for v in row[f"_e{i}"]] if m <= UNROLLED_PROBS else [] for i in range(len(names))]
         arrays = [tuple(_doubles(half) for half in (row[f"_e{i}"][:m], row[f"_e{i}"][m:])) for i in range(len(names))]
 
@@ -144,23 +184,11 @@ def quantiles_long(
     needed = F.filter(_doubles(ps), lambda p: (below(p) < F.col("_end")) & (above(p) >= first))
     hits = ranked.select("*", F.explode(needed).alias("prob"))
     at = F.col("prob")
-    picked = hits.groupBy(*[c(b) for b in by], "_i", "prob").agg(
+    return hits.groupBy(*[c(b) for b in by], "_i", "prob").agg(
         F.max("_all").alias("n"),
         F.max(F.when((first <= below(at)) & (below(at) < F.col("_end")), F.col("_key"))).alias("_lo"),
         F.max(F.when((first <= above(at)) & (above(at) < F.col("_end")), F.col("_key"))).alias("_hi"),
     )
-    lo, hi, position = F.col("_lo"), F.col("_hi"), at * (F.col("n") - 1)
-    missed = F.raise_error(F.lit("quantile rank outside its bracket")).cast("double")
-    value = (
-        F.when(lo.isNull() | hi.isNull(), missed)
-        .when(lo == hi, lo)
-        .otherwise(lo + (hi - lo) * (position - F.floor(position)))
-    )
-    place = F.element_at(F.lit(np.array(order, dtype="int32")), F.array_position(_doubles(ps), at).cast("int"))
-    column = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("_i") + 1)
-    return picked.select(
-        *[c(b) for b in by], column.alias("column"), "n", place.alias("pos"), "prob", value.alias("value")
-    )
 
 
 def _doubles(values: Sequence[float]) -> Column:

@@ -16,6 +16,10 @@ from flowsift.operators.classes import class_counts
 
 #: Copies of one row written by one task before they are spread over tasks.
 COPIES_PER_TASK = 1_000
+#: Sampled rows (per group) that a task keeps itself; larger samples are drawn by counts.
+SUMMARY_ROWS = 200_000
+#: Tasks that merge the kept rows of one group before the last one does.
+MERGE_TASKS = 32
 
 
 def sample_fraction(df: DataFrame, fraction: float, u: Column) -> DataFrame:
@@ -30,13 +34,30 @@ def fraction_for(df: DataFrame, rows: int) -> float:
 
 
 def lowest_per_group(
-    df: DataFrame, n: int, u: Column, by: Sequence[str] = (), tie: Sequence[str] = (), cells: int = 65_536
+    df: DataFrame, n: int, u: Column, by: Sequence[str] = (), tie: Sequence[str] = (), cells: int | None = None
 ) -> DataFrame:
     """The `n` rows with the smallest `u`, per group if `by` is given.
 
-    A count per cell of `u` tells up to which cell rows can still be among the first `n`. Only those rows are
-    sorted, so a group with a third of the table sends little more than `n` rows to the task that ranks it.
+    For samples that a task can hold, one scan: every task keeps the first `n` rows of each of its groups, the tasks' rows are
+    merged in two steps, and a group with a third of the table still sends no more than `n` rows a task. Larger samples, and
+    those with `cells`, first count rows per cell of `u`, so that only rows up to the last cell needed are sorted at all.
     """
+    if cells or n > SUMMARY_ROWS:
+        return _lowest_by_cells(df, n, u, by, tie, cells or 65_536)
+    keys = [c(b) for b in by]
+    order = [F.col("_u"), *[c(t) for t in tie]]
+    marked = df.withColumns({"_u": u, "_task": F.pmod(F.spark_partition_id(), F.lit(MERGE_TASKS))})
+    for within in ([*keys, F.col("_task")], keys):
+        if within:
+            place = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
+            marked = marked.withColumn("_rank", place).filter(F.col("_rank") <= n).drop("_rank")
+        else:
+            marked = marked.orderBy(*order).limit(n)
+    return marked.drop("_u", "_task")
+
+
+def _lowest_by_cells(df: DataFrame, n: int, u: Column, by: Sequence[str], tie: Sequence[str], cells: int) -> DataFrame:
+    """A count per cell of `u` tells up to which cell rows can be among the first `n`; a second scan sorts only those."""
     keys = [c(b) for b in by]
     marked = df.withColumn("_u", u).withColumn("_cell", F.floor(F.col("_u") * cells))
     counts = marked.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_m"))

@@ -1,15 +1,20 @@
 """Training, tuning and scoring of tree ensembles with spark.ml.
 
-The training side is read many times by one fit. Callers hand in a frame that is cheap to read again
-(`flowsift.session.materialize` writes one to the shared folder), so a lost executor costs a re-read and no re-run.
+The training side is read many times by one fit. Callers hand in a frame that is cheap to read again (`store_for_fit` writes
+one to the shared folder, in even parts), so a lost executor costs a re-read and no re-run.
 """
 
 from __future__ import annotations
 
+import math
+import threading
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import FIRST_EXCEPTION, CancelledError, ThreadPoolExecutor, wait
 from itertools import product
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, OneVsRest, OneVsRestModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
@@ -18,7 +23,7 @@ from pyspark.sql import functions as F
 
 from flowsift.functions.columns import c
 from flowsift.operators.evaluate import confusion_counts, global_metrics
-from flowsift.operators.sampling import mark_parts, sample_fraction
+from flowsift.operators.sampling import mark_parts
 from flowsift.session import materialize
 
 # Parameters of the base models and of the two grids.
@@ -28,6 +33,92 @@ GBT_BASE = {"maxIter": 50, "maxDepth": 5, "stepSize": 0.1, "seed": 42}
 GBT_GRID = {"maxIter": (50, 100), "maxDepth": (5, 8), "stepSize": (0.05, 0.1)}
 VOLUMES = (0.10, 0.25, 0.50, 0.75, 1.0)
 
+#: Rows that a task of a fit should have at least, and at most.
+FIT_TASK_ROWS = (10_000, 4_000_000)
+#: Fits of a grid that run at the same time.
+GRID_FITS = 2
+
+
+def store_for_fit(df: DataFrame, name: str = "fit", tasks: int | None = None) -> DataFrame:
+    """`df` written in parts of equal size, one for each core (or `tasks`) unless they would be too short or too long.
+
+    Every level of every tree is one pass over the table, and a pass takes as long as its longest task: a table that a few
+    large files hold leaves cores idle in each of them.
+    """
+    rows = df.count()
+    least, most = FIT_TASK_ROWS
+    wanted = tasks or df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(wanted, -(-rows // least)), -(-rows // most))
+    return materialize(df.repartition(parts), name)
+
+
+def node_bytes(n_features: int, n_classes: int, bins: int, subset: str = "auto", trees: int = 2) -> int:
+    """Bytes of the counts that a fit holds for one open node: bins of the candidate features times classes and total."""
+    share = {"all": n_features, "log2": math.log2(max(2, n_features)), "onethird": n_features / 3, "sqrt": math.sqrt(n_features)}
+    candidates = share["all" if trees == 1 else "sqrt"] if subset == "auto" else share.get(subset, n_features)
+    return 8 * max(1, math.ceil(candidates)) * bins * (n_classes + 1)
+
+
+def fit_memory(
+    n_features: int, n_classes: int, trees: int, depth: int, bins: int, subset: str = "auto", most_mb: int = 1024
+) -> tuple[int, int]:
+    """(megabytes for `maxMemoryInMB`, passes over the rows): enough for the widest level of all trees at once, within `most_mb`.
+
+    Nodes that do not fit wait for another pass, so a wide level under a small limit costs many.
+    """
+    each = node_bytes(n_features, n_classes, bins, subset, trees)
+    widest = trees * 2 ** (depth - 1) * each / 2**20
+    megabytes = int(min(most_mb, max(256, math.ceil(widest * 1.1))))
+    at_once = max(1, int(megabytes * 2**20 // each))
+    return megabytes, sum(-(-trees * 2**level // at_once) for level in range(depth))
+
+
+def sized_forest(train: DataFrame, label: str = "label_index", features: str = "features", most_mb: int = 1024, **params):
+    """`random_forest` whose memory follows the width of the features and the classes of `train`."""
+    chosen = {**RF_BASE, **params}
+    row = train.select(F.max(c(label)).alias("top")).first()
+    first = train.select(c(features)).first()
+    if first is None:
+        raise ValueError("nothing to fit: the training side has no rows")
+    subset = chosen.get("featureSubsetStrategy", "auto")
+    megabytes, _ = fit_memory(
+        len(first[0]), int(row["top"]) + 1, chosen["numTrees"], chosen["maxDepth"], chosen["maxBins"], subset, most_mb
+    )
+    return random_forest(label, features, **{"maxMemoryInMB": megabytes, **params})
+
+
+def run_grid(spark: SparkSession, jobs: Sequence[Callable[[], object]], at_once: int = GRID_FITS) -> list:
+    """Results of `jobs` in their order, `at_once` of them running, each in a scheduler pool of its own.
+
+    The first error ends the grid: waiting jobs are dropped, the Spark jobs of running ones are cancelled, and it is raised.
+    """
+    context, tag, over = spark.sparkContext, f"grid-{uuid.uuid4().hex}", threading.Event()
+
+    def run(number: int, job: Callable[[], object]):
+        if over.is_set():
+            raise CancelledError
+        context.addJobTag(tag)
+        context.setLocalProperty("spark.scheduler.pool", f"fit-{number % at_once}")
+        try:
+            return job()
+        except BaseException:
+            over.set()
+            raise
+        finally:
+            context.setLocalProperty("spark.scheduler.pool", None)
+            context.removeJobTag(tag)
+
+    with ThreadPoolExecutor(max(1, at_once)) as pool:
+        waiting = [pool.submit(inheritable_thread_target(spark)(run), i, job) for i, job in enumerate(jobs)]
+        done, left = wait(waiting, return_when=FIRST_EXCEPTION)
+        failed = next((f for f in waiting if f in done and f.exception() and not isinstance(f.exception(), CancelledError)), None)
+        if failed is not None:
+            for future in left:
+                future.cancel()
+            context.cancelJobsWithTag(tag)
+            raise failed.exception()
+        return [f.result() for f in waiting]
+
 
 def random_forest(label: str = "label_index", features: str = "features", **params) -> RandomForestClassifier:
     return RandomForestClassifier(labelCol=label, featuresCol=features, **{**RF_BASE, **params})
@@ -83,6 +174,17 @@ def leaderboard(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return frame.orderBy(F.desc("f1"))
 
 
+def _grid(grid: Mapping[str, Sequence]) -> list[dict]:
+    return [dict(zip(grid, values)) for values in product(*grid.values())]
+
+
+def _parts(train: DataFrame, u: Column, weights: Sequence[float], prepare) -> tuple[DataFrame, DataFrame]:
+    """The side to fit, prepared, and the side to check, both written: every fit reads them again."""
+    marked = mark_parts(train, weights, u, "_part")
+    fit_side = store_for_fit(prepare(marked.filter(F.col("_part") == 0).drop("_part")), "fit_side")
+    return fit_side, materialize(marked.filter(F.col("_part") == 1).drop("_part"), "check_side")
+
+
 def tune_forest(
     train: DataFrame,
     u: Column,
@@ -90,26 +192,28 @@ def tune_forest(
     grid: Mapping[str, Sequence] = RF_GRID,
     train_ratio: float = 0.75,
     label: str = "label_index",
+    at_once: int = GRID_FITS,
     **params,
 ) -> tuple[Model, DataFrame]:
     """Grid search by weighted F1 on a held-back part; returns the best model, refitted on all of `train`, and F1 per combination.
 
     Rows are split by `u`, so the parts do not depend on the partition layout, and only what is fitted goes through `prepare`
-    (class balance, say), so no copy of a row can be on both sides.
+    (class balance, say), so no copy of a row can be on both sides. `at_once` combinations are fitted side by side; of equal
+    ones the first in the order of the grid is the best.
     """
-    marked = mark_parts(train, (train_ratio, 1 - train_ratio), u, "_part")
-    fit_side = materialize(prepare(marked.filter(F.col("_part") == 0).drop("_part")), "fit_side")
-    check_side = materialize(marked.filter(F.col("_part") == 1).drop("_part"), "check_side")
-    names, rows, best = list(grid), [], None
-    for values in product(*grid.values()):
-        chosen = dict(zip(names, values))
-        model = random_forest(label, **{**params, **chosen}).fit(fit_side)
-        f1 = test_metrics(score(model, check_side, (label,)), label)["f1"]
-        rows.append(({n: str(v) for n, v in chosen.items()}, f1))
-        if best is None or f1 > best[0]:
-            best = (f1, chosen)
-    model = random_forest(label, **{**params, **best[1]}).fit(prepare(train))
-    return model, _grid_table(train.sparkSession, names, rows)
+    fit_side, check_side = _parts(train, u, (train_ratio, 1 - train_ratio), prepare)
+
+    def judged(chosen: dict) -> float:
+        model = sized_forest(fit_side, label, **{**params, **chosen}).fit(fit_side)
+        return test_metrics(score(model, check_side, (label,)), label)["f1"]
+
+    combinations = _grid(grid)
+    found = run_grid(train.sparkSession, [lambda p=p: judged(p) for p in combinations], at_once)
+    best = combinations[found.index(max(found))]
+    whole = store_for_fit(prepare(train), "refit")
+    model = sized_forest(whole, label, **{**params, **best}).fit(whole)
+    rows = [({n: str(v) for n, v in p.items()}, f1) for p, f1 in zip(combinations, found)]
+    return model, _grid_table(train.sparkSession, list(grid), rows)
 
 
 def _grid_table(spark: SparkSession, names: Sequence[str], rows: Sequence[tuple[dict, float]]) -> DataFrame:
@@ -127,27 +231,51 @@ def tune_gbt(
     weights: Sequence[float] = (0.75, 0.25),
     parallelism: int = 4,
     label: str = "label_index",
+    at_once: int = GRID_FITS,
     **params,
 ) -> tuple[OneVsRestModel, DataFrame]:
     """Grid search for boosted one-vs-rest models; returns the best model and F1 and seconds per combination.
 
     The rows are split by `u` first and only the fitted part goes through `prepare` (class balance, say), so no
-    copy of a row can be on both sides.
+    copy of a row can be on both sides. `at_once` combinations are fitted side by side, each with `parallelism` binary models.
     """
-    marked = mark_parts(train, weights, u, "_part")
-    fit_side = prepare(marked.filter(F.col("_part") == 0).drop("_part"))
-    check_side = marked.filter(F.col("_part") == 1).drop("_part")
-    names, best, rows = list(grid), None, []
-    for values in product(*grid.values()):
-        chosen = dict(zip(names, values))
+    fit_side, check_side = _parts(train, u, weights, prepare)
+
+    def judged(chosen: dict) -> tuple[float, float, OneVsRestModel]:
         model, seconds = fit_timed(gbt_one_vs_rest(label, parallelism=parallelism, **{**params, **chosen}), fit_side)
-        f1 = test_metrics(score(model, check_side, (label,)), label)["f1"]
-        rows.append((*[str(v) for v in values], f1, seconds))
-        if best is None or f1 > best[0]:
-            best = (f1, model)
-    fields = ", ".join(f"{n} string" for n in names)
+        return test_metrics(score(model, check_side, (label,)), label)["f1"], seconds, model
+
+    combinations = _grid(grid)
+    found = run_grid(train.sparkSession, [lambda p=p: judged(p) for p in combinations], at_once)
+    best = max(range(len(found)), key=lambda i: (found[i][0], -i))
+    rows = [(*[str(v) for v in p.values()], f1, seconds) for p, (f1, seconds, _) in zip(combinations, found)]
+    fields = ", ".join(f"{n} string" for n in grid)
     table = train.sparkSession.createDataFrame(rows, f"{fields}, f1 double, seconds double").orderBy(F.desc("f1"))
-    return best[1], table
+    return found[best][2], table
+
+
+def nested_shares(train: DataFrame, fractions: Sequence[float], u: Column) -> list[DataFrame]:
+    """A frame per entry of `fractions` with the rows whose `u` is below it, all of them reads of one table.
+
+    The table is laid out by the ranges between the fractions, so a share reads the files of its ranges and no others.
+    """
+    edges = sorted(set(float(f) for f in fractions))
+    ring = F.lit(len(edges))
+    for i, edge in reversed(list(enumerate(edges))):
+        ring = F.when(u < edge, i).otherwise(ring)
+    marked = train.withColumn("_share", ring).filter(F.col("_share") < len(edges))
+    sizes = {r["_share"]: r["count"] for r in marked.groupBy("_share").count().collect()}
+    tasks = train.sparkSession.sparkContext.defaultParallelism
+    least, most = FIT_TASK_ROWS
+    parts = {i: max(1, min(tasks, -(-n // least)), -(-n // most)) for i, n in sizes.items()}
+    # every range in as many files as one fit has use for, with rows dealt evenly
+    place, before = F.lit(0).cast("long"), 0
+    for i, n in sorted(parts.items()):
+        place = F.when(F.col("_share") == i, F.pmod(F.xxhash64(F.lit("deal"), u), F.lit(n)) + before).otherwise(place)
+        before += n
+    dealt = marked.repartitionById(max(1, before), place.cast("int"))
+    table = materialize(dealt, "shares", ("_share",))
+    return [table.filter(F.col("_share") <= edges.index(float(f))).drop("_share") for f in fractions]
 
 
 def learning_curve(
@@ -160,8 +288,7 @@ def learning_curve(
 ) -> DataFrame:
     """Rows, fit seconds and test F1 of each model at growing shares of the training side."""
     rows = []
-    for fraction in fractions:
-        part = sample_fraction(train, fraction, u)
+    for fraction, part in zip(fractions, nested_shares(train, fractions, u)):
         n = part.count()
         for name, make in makers.items():
             model, seconds = fit_timed(make(), part)

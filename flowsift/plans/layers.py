@@ -27,13 +27,19 @@ def to_bronze(flows: DataFrame, catalogue: LabelCatalogue = DEFAULT) -> DataFram
 
 
 def ingest(
-    spark: SparkSession, folder: str, path: str, types: dict[str, T.DataType], catalogue: LabelCatalogue = DEFAULT
+    spark: SparkSession,
+    folder: str,
+    path: str,
+    types: dict[str, T.DataType],
+    catalogue: LabelCatalogue = DEFAULT,
+    multi_line: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """CSV folder to a bronze table partitioned by class. Returns the labelled flows for the audit, and bronze.
 
     The labelled rows are written once; both the audit and bronze read them, and the CSV files are parsed a single time.
+    Texts with line breaks need `multi_line`; without it they are an error.
     """
-    flows = materialize(labelled(read_csv(spark, folder, types), catalogue), "labelled")
+    flows = materialize(labelled(read_csv(spark, folder, types, multi_line=multi_line), catalogue), "labelled")
     return flows, write_parquet(to_bronze(flows, catalogue), path, ["Label"])
 
 

@@ -33,7 +33,7 @@ def prepare_sides(
     """Assemble, split, scale on train, balance train.
 
     Gold has no key, so rows are split by a hash of the whole row: equal rows share a side and cannot leak.
-    Gold, the balanced training side and the test side are written once, since they are read many times.
+    The three sides are written once, since they are read many times; the stored gold they come from is then deleted.
     """
     if store:
         gold = materialize(gold, "gold")
@@ -47,5 +47,6 @@ def prepare_sides(
     slim = [label, "_key", "features"]
     frames = [train_side.select(*slim), test_side.select(*slim), balanced.select(*slim)]
     if store:
-        frames[1:] = [materialize(frames[1], "test"), materialize(frames[2], "balanced")]
+        names_of = ("train", "test", "balanced")
+        frames = [materialize(f, n, spent=[gold] if n == "balanced" else []) for f, n in zip(frames, names_of)]
     return Sides(*frames, scaler)

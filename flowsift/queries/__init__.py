@@ -6,7 +6,7 @@ from importlib import import_module
 
 from flowsift.queries.registry import REGISTRY, Query
 
-for _family in ("sources", "labels", "audit", "clean", "classes", "temporal", "distribution", "sampling", "features", "training", "evaluation", "runlog"):
+for _family in ("sources", "labels", "audit", "clean", "classes", "temporal", "distribution", "sampling", "features", "training", "trees", "evaluation", "runlog"):
     import_module(f"flowsift.queries.{_family}")
 
 __all__ = ["REGISTRY", "Query"]

@@ -4,7 +4,7 @@ from flowsift.functions.columns import c, select_numeric
 from flowsift.operators import audit, clean
 from flowsift.plans.layers import silver_report
 from flowsift.queries.labels import STAGED_SQL, repaired
-from flowsift.queries.registry import query, rounded
+from flowsift.queries.registry import query, rounded, table
 from flowsift.queries.views import FEAT_SQL, FLOWS_DUP_SQL, FLOWS_SQL, feat, flows, flows_dup, over, text_of, text_of_sql
 
 _FLOW_COLUMNS = ["event_id", "source_file", "Timestamp", "Label", "Flow Duration", "Flow Byts/s", "Init Win Byts", "Const", "Src IP"]
@@ -43,10 +43,8 @@ def audit_nulls(spark, folder):
         """SELECT count_if(n > 1)::BIGINT AS duplicate_groups, sum(CASE WHEN n > 1 THEN n ELSE 0 END)::BIGINT AS duplicate_rows,
              sum(n - 1)::BIGINT AS surplus_rows, sum(n)::BIGINT AS n_rows,
              round(sum(CASE WHEN n > 1 THEN n ELSE 0 END) * 100.0::DOUBLE / sum(n), 2) AS pct_duplicate
-           FROM (SELECT count(*) AS n FROM (SELECT * EXCLUDE (source_file) FROM flows_dup) GROUP BY ALL)""".replace(
-            "SELECT count(*) AS n FROM (SELECT * EXCLUDE (source_file) FROM flows_dup) GROUP BY ALL",
-            'SELECT count(*) AS n FROM flows_dup GROUP BY "Timestamp", "Label", "Flow Duration", "Flow Byts/s", "Init Win Byts", "Const", "Src IP"',
-        ),
+           FROM (SELECT count(*) AS n FROM flows_dup
+                 GROUP BY "Timestamp", "Label", "Flow Duration", "Flow Byts/s", "Init Win Byts", "Const", "Src IP")""",
     ),
 )
 def audit_duplicates(spark, folder):
@@ -85,20 +83,27 @@ def audit_constant_cols(spark, folder):
     return audit.constant_columns(flows(spark, folder))
 
 
+_DESCRIBED = ["quantity", "price", "discount", "tax", "linenumber", "price_net", "day_of_week", "hour"]
+_NUMBER_SQL = """SELECT $ AS "column", count(@) AS n, round(avg(@), 4) AS mean, round(stddev_samp(@), 4) AS stddev,
+  round(min(@)::DOUBLE, 4) AS min, round(max(@)::DOUBLE, 4) AS max, NULL::VARCHAR AS first, NULL::VARCHAR AS last"""
+_TEXT_SQL = """SELECT $ AS "column", count(@) AS n, NULL::DOUBLE AS mean, NULL::DOUBLE AS stddev, NULL::DOUBLE AS min, NULL::DOUBLE AS max,
+  min(@) AS first, max(@) AS last"""
+
+
+@query("profile_describe", over(FEAT_SQL, _each(_DESCRIBED, _NUMBER_SQL, "feat") + " UNION ALL " + _each(["Label", "rarity"], _TEXT_SQL, "feat")))
+def profile_describe(spark, folder):
+    return rounded(audit.describe(feat(spark, folder), [*_DESCRIBED, "Label", "rarity"]), 4, "mean", "stddev", "min", "max")
+
+
 @query(
-    "profile_describe",
-    over(
-        FEAT_SQL,
-        _each(
-            ["quantity", "price", "discount", "tax", "linenumber", "price_net", "day_of_week", "hour"],
-            'SELECT $ AS "column", count(@) AS n, round(avg(@), 4) AS mean, round(stddev_samp(@), 4) AS stddev, min(@)::DOUBLE AS min, max(@)::DOUBLE AS max',
-            "feat",
-        ).replace("min(\"price_net\")::DOUBLE", "round(min(\"price_net\"), 4)").replace("max(\"price_net\")::DOUBLE", "round(max(\"price_net\"), 4)"),
-    ),
+    "profile_describe_texts",
+    _each(["doc_id", "n_chars"], _NUMBER_SQL, "documents")
+    + " UNION ALL "
+    + _each(["text", "lang", "source"], _TEXT_SQL, "documents"),
 )
-def profile_describe(spark, folder):
-    names = ["quantity", "price", "discount", "tax", "linenumber", "price_net", "day_of_week", "hour"]
-    return rounded(audit.describe(feat(spark, folder), names), 4, "mean", "stddev", "min", "max")
+def profile_describe_texts(spark, folder):
+    """Every column of `documents`, most of them texts."""
+    return rounded(audit.describe(table(spark, folder, "documents")), 4, "mean", "stddev")
 
 
 @query(

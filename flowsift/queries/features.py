@@ -74,7 +74,7 @@ def feat_corr_prune(spark, folder):
 def feat_rf_importance(spark, folder):
     rows = features.label_index(feat(spark, folder), "rarity")
     names = ["quantity", "price", "discount", "tax", "linenumber", "price_net", "day_of_week"]
-    return features.rf_importance(rows, names, trees=10, depth=5)
+    return features.rf_importance(rows, names, trees=30, depth=10)
 
 
 @query("feat_pca_scree")

@@ -1,10 +1,14 @@
 """Sources and sinks. Each query writes the given tables out and reads them back."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowsift.functions.columns import c
 from flowsift.operators.audit import integrity
+from flowsift.operators.labels import LabelCatalogue
 from flowsift.plans.layers import ingest, to_bronze, to_gold, to_silver
 from flowsift.queries.labels import STAGED_SQL, repaired
 from flowsift.queries.registry import query, rounded, table
@@ -12,6 +16,9 @@ from flowsift.queries.views import FLOWS_SQL, flows, over, text_of, text_of_sql
 from flowsift.session import scratch_path
 from flowsift.sources import readers, sinks
 
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 FLOW_TYPES = {
     "event_id": T.LongType(),
     "Flow Duration": T.DoubleType(),
@@ -150,14 +157,17 @@ def src_footprint(spark, folder):
     return readers.footprint(spark, folder, "*.parquet")
 
 
-@query("src_footprint_truth", "SELECT 3::BIGINT AS n_files, true AS has_size, true AS units_agree")
+@query("src_footprint_truth", "SELECT true AS same_files, true AS same_size, true AS units_agree")
 def src_footprint_truth(spark, folder):
-    """Three written files are found with their sizes."""
-    path = scratch_path(spark, "footprint")
-    for name in ("nation", "region", "customer"):
-        table(spark, folder, name).repartition(1).write.parquet(f"{path}/{name}")
-    found = readers.footprint(spark, path, "*.parquet")
-    return found.select("n_files", (F.col("size_mb") > 0).alias("has_size"), (F.abs(F.col("size_mb") / 1024 - F.col("size_gb")) < 1e-9).alias("units_agree"))
+    """The files of all tables and their lengths, against what a scan of each table says of the files it reads."""
+    files = [table(spark, folder, n).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")) for n in TABLES]
+    read = reduce(DataFrame.unionAll, files).distinct().agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
+    found = readers.footprint(spark, folder, "*.parquet")
+    return found.select(
+        (F.col("n_files") == read.select("n").scalar()).alias("same_files"),
+        (F.abs(F.col("size_mb") * 1048576 - read.select("bytes").scalar()) < 0.5).alias("same_size"),
+        (F.abs(F.col("size_mb") / 1024 - F.col("size_gb")) < 1e-9).alias("units_agree"),
+    )
 
 
 @query(
@@ -171,6 +181,39 @@ def ingest_bronze(spark, folder):
     return rounded(sums, 2, "duration")
 
 
+@query(
+    "ingest_line_breaks",
+    """SELECT lang AS "Label", count(*) AS n_rows, sum(length(text))::BIGINT AS n_text FROM documents WHERE lang IN ('en', 'de', 'fr', 'es') GROUP BY 1""",
+)
+def ingest_line_breaks(spark, folder):
+    """Texts with line breaks and quotes through a CSV folder into a bronze table partitioned by class: no row is cut or lost."""
+    path = scratch_path(spark, "csv")
+    docs = table(spark, folder, "documents").select("doc_id", F.col("lang").alias("Label"), "text")
+    sinks.write_csv(docs, path)
+    languages = LabelCatalogue(names=("en", "de", "fr", "es"), variants={"english": "en"})
+    _, bronze = ingest(spark, path, scratch_path(spark, "bronze"), {"doc_id": T.LongType()}, languages, multi_line=True)
+    return bronze.groupBy("Label").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.length("text")).alias("n_text"))
+
+
+@query(
+    "src_csv_many_files",
+    over(FLOWS_SQL, """SELECT event_id % 2 = 0 AS even, count(*) AS n_rows, count("Src IP") AS n_src, round(sum("Flow Duration"), 2) AS duration
+                       FROM flows GROUP BY 1"""),
+)
+def src_csv_many_files(spark, folder):
+    """Two layouts over some sixty files; the headers of all of them are one job."""
+    path = scratch_path(spark, "many")
+    source = flows(spark, folder).drop("source_file").repartition(32, "event_id")
+    even = F.col("event_id") % 2 == 0
+    sinks.write_csv(source.filter(~even), f"{path}/full")
+    sinks.write_csv(source.filter(even).drop("Src IP"), f"{path}/short")
+    read = readers.read_csv(spark, f"{path}/*", FLOW_TYPES)
+    counts = read.groupBy((F.col("event_id") % 2 == 0).alias("even")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count(c("Src IP")).alias("n_src"), F.sum(c("Flow Duration")).alias("duration")
+    )
+    return rounded(counts, 2, "duration")
+
+
 @query(
     "pipeline_gold",
     over(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from flowsift.functions.hashing import fast_uniform
 from flowsift.operators import evaluate, sampling, training
+from flowsift.operators.training import store_for_fit
 from flowsift.plans.modelling import prepare_sides
 from flowsift.queries.registry import query, table
 from flowsift.queries.views import feat
@@ -25,7 +26,7 @@ def _vectors(spark, folder):
 
 def _stored(spark, folder):
     train, test = _vectors(spark, folder)
-    return materialize(train, "train"), materialize(test, "test")
+    return store_for_fit(train, "train"), materialize(test, "test")
 
 
 @query("ml_rf_predict")
@@ -41,6 +42,18 @@ def ml_rf_tune(spark, folder):
     return training.tune_forest(train, fast_uniform(6, "vec_id"), grid=grid)[1]
 
 
+@query("ml_rf_tune_balanced")
+def ml_rf_tune_balanced(spark, folder):
+    """The same grid, the fitted part balanced and the checked part as it is."""
+    train, _ = _stored(spark, folder)
+    grid = {"numTrees": (5, 10), "maxDepth": (3, 5), "featureSubsetStrategy": ("sqrt", "log2")}
+
+    def prepare(part):
+        return sampling.balance(part, fast_uniform(8, "vec_id"), "label_index")
+
+    return training.tune_forest(train, fast_uniform(6, "vec_id"), prepare, grid)[1]
+
+
 @query("ml_gbt_ovr_predict")
 def ml_gbt_ovr_predict(spark, folder):
     train, test = _stored(spark, folder)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import csv
+from collections import Counter
+from collections.abc import Iterable
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -16,33 +18,57 @@ from flowsift.sources.sinks import CSV_FORM
 
 #: A field without anything in it is a null, which the parser tells from `""` only by a mark that no text equals.
 _ABSENT = {"nullValue": "\x00", "emptyValue": ""}
-#: Headers read at the same time.
-_HEADER_JOBS = 16
+#: Column for the text of a record that does not fit.
+_RAW = "_raw_record"
+#: Cost of opening a file, so high that no partition holds splits of two files.
+_NO_PACKING = str(1 << 40)
 
 
 def list_csv(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list[str]:
     """Sorted CSV paths of a folder; no match is an error."""
+    return sorted(_found(spark, folder, pattern).inputFiles())
+
+
+def _found(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
+    """The lines of the CSV files of a folder; no file is an error."""
     try:
-        files = spark.read.option("pathGlobFilter", pattern).text(folder).inputFiles()
+        lines = spark.read.option("pathGlobFilter", pattern).text(folder)
     except AnalysisException as missing:
         raise FileNotFoundError(f"cannot read {folder}") from missing
-    if not files:
+    if not lines._jdf.inputFiles():
         raise FileNotFoundError(f"no {pattern} in {folder}")
-    return sorted(files)
+    return lines
+
 
+def header_names(line: str) -> tuple[str, ...]:
+    """Column names of a header line: names that repeat (case aside) get their place behind them, empty ones are named by it."""
+    names = next(csv.reader([line]), [])
+    seen = Counter(n.lower() for n in names)
+    return tuple(f"_c{i}" if not n else f"{n}{i}" if seen[n.lower()] > 1 else n for i, n in enumerate(names))
 
-def _layouts(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their header. Each header is one small read of the first line."""
 
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.options(header=True, **CSV_FORM).csv(path).columns)
+def _layouts(spark: SparkSession, folder: str, pattern: str) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their header, from one job over the lines of all files.
 
-    with ThreadPoolExecutor(_HEADER_JOBS) as pool:
-        found = list(pool.map(header, paths))
+    The job runs in a session of its own that gives every file partitions of its own, so the first line that is not blank is the
+    first row of the partition in which the file begins, and the caller's options stay as they are.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.openCostInBytes", _NO_PACKING)
+    own.conf.unset("spark.sql.files.maxPartitionNum")
+    lines = _found(own, folder, pattern).where(F.col("value").rlike(r"\S")).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("begin"),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("row"),
+    )
+    first = lines.where("begin = 0 and row = 0")
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, names in zip(paths, found):
-        groups.setdefault(names, []).append(path)
-    return groups
+    for row in first.select("value", "path").collect():
+        groups.setdefault(header_names(row["value"]), []).append(unquote(row["path"]))
+    if len(groups) == 1:  # one layout needs no list of files
+        return {names: [folder] for names in groups}
+    return {names: sorted(paths) for names, paths in sorted(groups.items(), key=lambda g: min(g[1]))}
 
 
 def _unified(groups: dict[tuple[str, ...], list[str]], declared: dict[str, T.DataType]) -> dict[str, str]:
@@ -68,25 +94,37 @@ def read_csv(
     `types` gives the type of each column by name; unnamed columns are text. Headers that differ only in case or in blanks
     around a name are one column. A value that does not fit becomes null (`misfits` counts them), as does a column a file
     lacks. Files with equal headers share one scan. `same_layout` skips the look at the headers and takes `types`, then a full
-    schema, as the layout of every file. `multi_line` allows line breaks inside quotes; a file is then read by one task.
+    schema, as the layout of every file.
+
+    `multi_line` allows line breaks inside quotes; a file is then read by one task. Without it a record that such a break cuts in two
+    is an error as soon as `source_file` is computed, and never two wrong rows.
     """
     declared = {f.name: f.dataType for f in types.fields} if isinstance(types, T.StructType) else dict(types)
-    paths = list_csv(spark, folder, pattern)
     if same_layout:
+        _found(spark, folder, pattern)
         groups = {tuple(declared): [folder]}
     else:
-        groups = _layouts(spark, paths)
+        groups = _layouts(spark, folder, pattern)
     names = _unified(groups, declared)
     kinds = {n.strip().lower(): t for n, t in declared.items()}
     frames = []
     for header, members in groups.items():
-        schema = T.StructType([T.StructField(n, kinds.get(n.strip().lower(), T.StringType())) for n in header])
-        reader = spark.read.schema(schema).options(
-            header=True, mode="PERMISSIVE", pathGlobFilter=pattern, multiLine=multi_line, **_ABSENT, **CSV_FORM
+        fields = [T.StructField(n, kinds.get(n.strip().lower(), T.StringType())) for n in header]
+        fields += [] if multi_line else [T.StructField(_RAW, T.StringType())]
+        reader = spark.read.schema(T.StructType(fields)).options(
+            header=True, mode="PERMISSIVE", pathGlobFilter=pattern, multiLine=multi_line, columnNameOfCorruptRecord=_RAW, **_ABSENT, **CSV_FORM
         )
         frame = reader.csv(members)
         columns = [c(n).alias(names[n.strip().lower()]) for n in header]
-        frames.append(frame.select(*columns, F.col("_metadata.file_name").alias(source_file)))
+        file = F.col("_metadata.file_name")
+        if not multi_line:
+            # a record in which a quote stays open has odd quotes; only records that do not fit the schema are looked at
+            open_quote = F.pmod(F.length(F.regexp_replace(_RAW, '[^"]', "")), F.lit(2)) == 1
+            # the reader wants a column of the file beside the raw text
+            open_quote &= F.coalesce(F.length(c(header[0]).cast("string")), F.lit(0)) >= 0
+            cut = F.raise_error(F.concat(F.lit("a line break inside quotes, read with multi_line: "), file))
+            file = F.when(F.col(_RAW).isNotNull() & open_quote, cut.cast("string")).otherwise(file)
+        frames.append(frame.select(*columns, file.alias(source_file)))
     return union_by_name(frames)
 
 

@@ -56,18 +56,6 @@ def test_inferred_types_and_misfits(spark):
     assert bad == {"a": (2, 0), "c": (3, 1)}
 
 
-def test_scratch_tables_can_be_released(spark, tmp_path):
-    import glob
-
-    path = session.scratch_path(spark, "x")
-    spark.range(3).write.parquet(path)
-    assert glob.glob(path + "/*.parquet")
-    kept, session._WRITTEN[spark.sparkContext.applicationId] = session._WRITTEN[spark.sparkContext.applicationId], [path.rsplit("/", 1)[0]]
-    session.release(spark)
-    session._WRITTEN[spark.sparkContext.applicationId] = kept[:-1]
-    assert not glob.glob(path)
-
-
 def test_a_cluster_needs_a_shared_folder():
     class Conf(dict):
         def get(self, key, default=None):
