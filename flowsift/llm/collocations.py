@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from flowsift.llm.arrays import _FOLD, mix, odd_numbers, pieces, string_buffers
 from flowsift.session import materialize
 
-#: Bytes of text that are folded together before they are routed.
-CHUNK_BYTES = 16 << 20
+#: Bytes of text that are folded together before they are routed, and those that are cut into words at once.
+CHUNK_BYTES, CUT_BYTES = 8 << 20, 2 << 20
 #: Bytes of text for each route of suffixes.
-ROUTE_BYTES = 16 << 20
+ROUTE_BYTES = 8 << 20
 #: A route with more suffixes than this is dealt out again.
 ROUTE_ROWS = 4_000_000
 
@@ -52,8 +52,8 @@ def _cut(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     start = np.flatnonzero(first)
     if not len(start):
         return pa.array([], pa.large_binary()), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    held = np.concatenate(([0], np.cumsum(inside)))
-    bounds = np.append(held[start], held[-1]).astype(np.int64)
+    held = np.cumsum(inside)
+    bounds = np.append(held[start] - 1, held[-1]).astype(np.int64)
     letters = _FOLD[data[inside]]
     words = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
     text = np.searchsorted(offs, start, side="right") - 1
@@ -157,44 +157,48 @@ def _words(lengths: np.ndarray, data: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))])
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+def _chunks(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[tuple[pa.Array, np.ndarray, pa.Array]]:
+    """(words, words from each to the end of its piece up to `longest`, language of each) of bounded stretches of text."""
     held, size = [], 0
     for batch in batches:
-        for piece in pieces(batch, "text", CHUNK_BYTES):
-            held.append(piece)
-            size += int(string_buffers(piece.column("text"))[1][-1])
+        for piece in pieces(batch, "text", CUT_BYTES):
+            words, left, text = _cut(piece.column("text"))
+            held.append((words, np.minimum(left, longest).astype(np.int8), piece.column("lang").take(pa.array(text))))
+            size += piece.column("text").nbytes
             if size >= CHUNK_BYTES:
-                yield pa.Table.from_batches(held).combine_chunks()
+                yield _chunk(held)
                 held, size = [], 0
     if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+        yield _chunk(held)
+
+
+def _chunk(held: list[tuple]) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    words, left, langs = zip(*held)
+    return pa.concat_arrays(words).dictionary_encode(), np.concatenate(left), pa.concat_arrays(langs).dictionary_encode()
 
 
 def _suffixes(longest: int, routes: int):
     """Blocks of single words and of suffixes of all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _chunks(batches):
-            batch = table.to_batches()[0]
-            words, left, text = _cut(batch.column("text"))
-            coded = words.dictionary_encode()
+        for coded, left, langs in _chunks(batches, longest):
             code, known = coded.indices.to_numpy(), _Vocabulary(coded.dictionary)
-            langs = batch.column("lang").dictionary_encode()
-            of_word = langs.indices.to_numpy()[text]
+            of_word = langs.indices.to_numpy()
             for number, lang in enumerate(langs.dictionary.to_pylist()):
                 at = np.flatnonzero(of_word == number)
                 if not len(at):
                     continue
+                single, often = np.unique(code[at], return_counts=True)
+                blocks = list(_blocks(lang, 1, 1, 1, routes, known, single.astype(np.int32)[:, None], often.astype(np.int64)))
+                at = at[left[at] > 1]
                 matrix = np.full((len(at), longest), -1, np.int32)
                 for j in range(longest):
                     has = left[at] > j
                     matrix[has, j] = code[at[has] + j]
                 matrix, counts = _folded(matrix, np.ones(len(at), np.int64), known.size)
-                single, often = np.unique(code[at], return_counts=True)
-                blocks = list(_blocks(lang, 1, 1, 1, routes, known, single.astype(np.int32)[:, None], often.astype(np.int64)))
-                more = matrix[:, 1] >= 0
-                blocks += _blocks(lang, 2, longest, 2, routes, known, matrix[more], counts[more])
-                yield pa.RecordBatch.from_pylist(blocks, _BLOCK_FIELDS)
+                blocks += _blocks(lang, 2, longest, 2, routes, known, matrix, counts)
+                for a in range(0, len(blocks), 50):
+                    yield pa.RecordBatch.from_pylist(blocks[a : a + 50], _BLOCK_FIELDS)
 
     return run
 
@@ -217,14 +221,14 @@ def frequent_prefixes(matrix: np.ndarray, weights: np.ndarray, least: int) -> It
     of three of its words. What weighs less than `least` is abandoned with its pointers; a row ends at a code below 0.
     """
     flat, width = np.ascontiguousarray(matrix).ravel(), matrix.shape[1]
-    rows = np.arange(len(matrix))
-    part = np.zeros(len(rows), np.int64)
+    rows = np.arange(len(matrix), dtype=np.int32)
+    part = np.zeros(len(rows), np.int32)
     depth = np.zeros(1, np.int64)
     while len(rows):
         begin = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        part = np.cumsum(np.concatenate(([0], part[1:] != part[:-1])))
+        part = np.cumsum(np.concatenate(([0], part[1:] != part[:-1])), dtype=np.int32)
         size = np.diff(np.append(begin, len(rows)))
-        word = flat[rows * width + depth[part]]
+        word = flat[rows.astype(np.int64) * width + depth[part]]
         three = np.sort(np.stack([word[begin], word[begin + size // 2], word[begin + size - 1]]), axis=0)
         pivot = three[1][part]
         side = part * 3 + (word >= pivot) + (word > pivot)
@@ -242,7 +246,7 @@ def frequent_prefixes(matrix: np.ndarray, weights: np.ndarray, least: int) -> It
             found = np.flatnonzero(met)
             yield deep[found], rows[np.searchsorted(side, found)], weight[found].astype(np.int64)
         on = deep[side] < width
-        rows, part, depth = rows[on], side[on], deep
+        rows, part, depth = rows[on], side[on].astype(np.int32), deep
         if len(rows):
             kinds, part = np.unique(part, return_inverse=True)
             depth = depth[kinds]
