@@ -13,6 +13,7 @@ bytes of the seek table's closing number.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Collection, Iterator
@@ -29,8 +30,12 @@ from flowsift.llm.arrays import pieces, string_buffers
 
 #: Bytes of text whose ids share a file.
 FILE_BYTES = 32 << 20
-#: Words whose ids a worker keeps; the store is emptied when it is full. Longer words are not kept.
-CACHE_WORDS, CACHE_LENGTH = 1_000_000, 64
+#: Stretches whose ids a worker keeps, those met twice if they are too many. Longer ones are not kept.
+CACHE_WORDS, CACHE_LENGTH = 300_000, 48
+#: Stretches that are encoded as one text.
+JOINED = 200
+#: Bytes of text that are encoded together.
+SLICE_BYTES = 5 << 20
 
 # Numbers of the zstandard frame format and of its seekable format.
 SKIPPABLE, SEEK_TABLE, SEEKABLE, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -39,11 +44,16 @@ SEPARATOR = "꒏"
 _GAP = struct.pack("<II", SKIPPABLE, len(SEPARATOR.encode()))
 
 
+#: A blank or line feed and no other, without the sign that special tokens begin with; its end is surely no blank.
+_PLAIN = re.compile(rb"[ \n][^\x00-\x20<\x7f]*(?:[!-;=-~]|[\xc3-\xdf][\x80-\xbf])").fullmatch
+
+
 class BlankTokenizer:
     """Ids of whole texts for a byte-level tokenizer that never joins a character with a blank after it.
 
     Texts are cut before every blank that follows something else, and each distinct stretch is encoded once. A cut is made only
-    after ASCII or a letter of two bytes that is surely no blank, so every stretch is met as in the whole text.
+    after ASCII or a letter of two bytes that is surely no blank, so every stretch is met as in the whole text. New
+    stretches are encoded many at a time and parted again by the ids that begin with a blank.
     """
 
     def __init__(self, path: str):
@@ -51,32 +61,68 @@ class BlankTokenizer:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.width = 2 if self.model.get_vocab_size() <= 1 << 16 else 4
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.begin: list[int] = []
-        self.size: list[int] = []
+        vocabulary = self.model.get_vocab()
+        self.width = 2 if len(vocabulary) <= 1 << 16 else 4
+        self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        # fixed values: the characters that stand for a blank and a line feed in byte-level vocabularies
+        self.opens[[i for t, i in vocabulary.items() if t.startswith(("Ġ", "Ċ"))]] = True
+        self._reset([], np.zeros(0, np.int64), np.zeros(0, np.uint32))
+
+    def _reset(self, words: list[bytes], size: np.ndarray, ids: np.ndarray) -> None:
+        self.known: dict[bytes, int] = dict(zip(words, range(len(words))))
+        self.size = np.zeros(CACHE_WORDS, np.int64)
+        self.size[: len(words)] = size
+        self.begin = np.zeros(CACHE_WORDS, np.int64)
+        self.begin[: len(words)] = np.cumsum(size) - size
+        self.met = np.zeros(CACHE_WORDS, dtype=bool)
+        self.ids, self.used = np.zeros(max(1 << 16, 2 * len(ids)), np.uint32), len(ids)
+        self.ids[: len(ids)] = ids
+
+    def _make_room(self) -> None:
+        """Keep what was met again since it was learnt, unless that is most of the store."""
+        words = [w for w, i in self.known.items() if self.met[i]]
+        words = words if len(words) < CACHE_WORDS // 2 else []
+        slot = np.fromiter((self.known[w] for w in words), np.int64, len(words))
+        size = self.size[slot]
+        self._reset(words, size, self._gather(self.ids, self.begin[slot], size)[0])
 
-    def _encode(self, words: list[bytes]) -> list[list[int]]:
-        texts = [w.decode("utf-8", "replace") for w in words]
-        return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+    @staticmethod
+    def _gather(ids: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.concatenate(([0], np.cumsum(size)))
+        return ids[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])], ends
+
+    def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in their order, number of each word's ids)."""
+        plain = [i for i, w in enumerate(words) if _PLAIN(w)]
+        groups = [plain[a : a + JOINED] for a in range(0, len(plain), JOINED)]
+        joined = self.model.encode_batch_fast([b"".join([words[i] for i in g]).decode("utf-8", "replace") for g in groups], add_special_tokens=False)
+        order, parts, sizes = [], [], []
+        for group, line in zip(groups, joined):
+            ids = np.array(line.ids, np.uint32)
+            first = np.flatnonzero(self.opens[ids])
+            if len(first) == len(group) and first[0] == 0:
+                order.extend(group)
+                parts.append(ids)
+                sizes.append(np.diff(first, append=len(ids)))
+        left = sorted(set(range(len(words))) - set(order))
+        texts = [words[i].decode("utf-8", "replace") for i in left]
+        rows = [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        order = np.array(order + left, np.int64)
+        flat = np.concatenate([*parts, *rows, np.zeros(0, np.uint32)])
+        size = np.concatenate([*sizes, np.array([len(r) for r in rows], np.int64)]).astype(np.int64)
+        begin, back = np.cumsum(size) - size, np.argsort(order, kind="stable")
+        return self._gather(flat, begin[back], size[back])[0], size[back]
 
     def _learn(self, words: list[bytes]) -> None:
-        for a in range(0, len(words), 10_000):
-            part = words[a : a + 10_000]
-            rows = self._encode(part)
-            flat = np.fromiter((x for r in rows for x in r), np.uint32)
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(flat)] = flat
-            sizes = [len(r) for r in rows]
-            self.known.update(zip(part, range(len(self.size), len(self.size) + len(part))))
-            self.begin.extend((self.used + np.concatenate(([0], np.cumsum(sizes[:-1])))).astype(np.int64).tolist())
-            self.size.extend(sizes)
-            self.used += len(flat)
+        ids, size = self._encode(words)
+        n = len(self.known)
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.size[n : n + len(words)] = size
+        self.begin[n : n + len(words)] = self.used + np.cumsum(size) - size
+        self.known.update(zip(words, range(n, n + len(words))))
+        self.used += len(ids)
 
     @staticmethod
     def cuts(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -98,23 +144,27 @@ class BlankTokenizer:
         bounds = pa.py_buffer(np.append(start, len(data)).astype(np.int64))
         coded = pa.Array.from_buffers(pa.large_binary(), len(start), [None, bounds, pa.py_buffer(np.ascontiguousarray(data))])
         coded = coded.dictionary_encode()
-        words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-        if len(self.known) + len(words) > CACHE_WORDS:
-            self._clear()
-        long = [i for i, w in enumerate(words) if len(w) > CACHE_LENGTH]
-        self._learn([w for w in words if w not in self.known and len(w) <= CACHE_LENGTH])
-        slot = np.fromiter((self.known.get(w, 0) for w in words), np.int64, len(words))
-        begin = np.array(self.begin, np.int64)[slot] if len(words) > len(long) else np.zeros(len(words), np.int64)
-        size = np.array(self.size, np.int64)[slot] if len(words) > len(long) else np.zeros(len(words), np.int64)
-        store = self.ids[: self.used]
-        if long:
-            rows = self._encode([words[i] for i in long])
-            size[long] = [len(r) for r in rows]
-            begin[long] = self.used + np.concatenate(([0], np.cumsum(size[long])[:-1]))
-            store = np.concatenate([store, np.fromiter((x for r in rows for x in r), np.uint32)])
-        begin, size = begin[code], size[code]
-        ends = np.concatenate(([0], np.cumsum(size)))
-        return store[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])], ends[of_text]
+        words, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        slot = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+        self.met[slot[slot >= 0]] = True
+        new = np.flatnonzero(slot < 0).tolist()
+        short = [i for i in new if len(words[i]) <= CACHE_LENGTH]
+        if len(self.known) + len(short) > CACHE_WORDS:
+            self._make_room()
+            slot = np.fromiter((self.known.get(w, -1) for w in words), np.int64, len(words))
+            new = np.flatnonzero(slot < 0).tolist()
+            room = CACHE_WORDS - len(self.known)
+            short = [i for i in new if len(words[i]) <= CACHE_LENGTH][:room]
+        slot[short] = np.arange(len(self.known), len(self.known) + len(short))
+        self._learn([words[i] for i in short])
+        begin, size, store = self.begin[slot], self.size[slot], self.ids[: self.used]
+        rest = np.flatnonzero(slot < 0)
+        if len(rest):  # encoded for this slice alone
+            ids, sizes = self._encode([words[i] for i in rest.tolist()])
+            size[rest], begin[rest] = sizes, self.used + np.cumsum(sizes) - sizes
+            store = np.concatenate([store, ids])
+        flat, ends = self._gather(store, begin[code], size[code])
+        return flat, ends[of_text]
 
 
 _TOKENIZERS: dict[str, BlankTokenizer] = {}
@@ -139,7 +189,7 @@ def _write(tokenizer_path: str, end_id: int):
         kind = "<u2" if model.width == 2 else "<u4"
         keys, entries = [], []
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", SLICE_BYTES):
                 flat, bounds = model.encode(piece.column("text"))
                 rows = []
                 for i in range(piece.num_rows):
