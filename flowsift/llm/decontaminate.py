@@ -4,21 +4,27 @@ Two strings of n characters with at most e edits share at least n - q + 1 - q *
 Every document is read once: its q-grams are looked up in an index of the benchmark, shared ones are counted in overlapping
 bands of diagonals, regions that reach the bound of the lemma are kept and verified by banded alignment.
 
-The benchmark is a stated query set. It is run against all documents in blocks of at most about `BLOCK_BYTES` of text, so the
-index that goes to the tasks is bounded however large the benchmark is. Documents are never shuffled.
+The benchmark is a stated query set. It is run in blocks of at most about `BLOCK_BYTES` of text, so the index that goes to the
+tasks is bounded however large the benchmark is. Where there is more than one block, documents are still read once: a filter of
+fixed size over the q-grams of all items passes those that may hold a region, which are written, and the blocks read these alone.
+All places and lengths are in characters.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowsift.functions.columns import lookup_side
 from flowsift.llm.arrays import mix, odd_numbers, pieces, string_buffers
+from flowsift.session import materialize
 
 BLOCK_BYTES = 2 << 20
 
@@ -44,21 +50,42 @@ class Budget:
         return n, e, n - self.q + 1 - self.q * e
 
 
-_WORD = np.zeros(256, dtype=bool)
-_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-_PLAIN = np.full(256, 0x20, np.uint8)
-_PLAIN[_WORD] = np.flatnonzero(_WORD)
-_PLAIN[0x41:0x5B] += 32
+def code_points(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, offsets) of texts given as UTF-8."""
+    raw = data.tobytes()
+    try:
+        points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), np.uint32)
+        return points, np.concatenate(([0], np.cumsum((data & 0xC0) != 0x80)))[offs]
+    except UnicodeDecodeError:  # bytes that are no text: every broken one counts as a character
+        parts = [raw[a:z].decode("utf-8", "replace") for a, z in zip(offs[:-1].tolist(), offs[1:].tolist())]
+        points = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32)
+        return points, np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
 
 
-def normalise(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bytes, offsets, place of each byte in `data`): A-Z folded, a run of anything but letters and digits is one blank."""
-    word = _WORD[data]
-    after = np.zeros(len(data), dtype=bool)
+@lru_cache(maxsize=1)
+def _plain() -> np.ndarray:
+    """What each code point of the basic plane becomes: its lower case if it is a letter, digit or mark, else a blank."""
+    table = np.full(0x10000, 0x20, np.uint32)
+    for point in range(0x10000):
+        char = chr(point)
+        if char.isalnum() or unicodedata.category(char)[0] == "M":
+            low = char.lower()
+            table[point] = ord(low) if len(low) == 1 else point
+    return table
+
+
+def normalise(points: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(code points, offsets, place of each in `points`): lower case, a run of anything but letters, digits and marks is one blank.
+
+    Characters beyond the basic plane are letters and stay as they are.
+    """
+    plain = np.where(points < 0x10000, _plain()[np.minimum(points, 0xFFFF)], points)
+    word = plain != 0x20
+    after = np.zeros(len(points), dtype=bool)
     after[1:] = word[:-1]
-    after[offs[:-1][offs[:-1] < len(data)]] = False
+    after[offs[:-1][offs[:-1] < len(points)]] = False
     place = np.flatnonzero(word | after)
-    return _PLAIN[data[place]], np.searchsorted(place, offs), place
+    return plain[place], np.searchsorted(place, offs), place
 
 
 def qgrams(text: np.ndarray, offs: np.ndarray, q: int) -> np.ndarray:
@@ -84,9 +111,7 @@ class BenchmarkIndex:
     def __init__(self, items: list[tuple], budget: Budget):
         self.budget = budget
         self.ids = [i for i, _ in items]
-        raw = [(t or "").encode() for _, t in items]
-        offs = np.concatenate(([0], np.cumsum([len(t) for t in raw]))).astype(np.int64)
-        self.text, self.offs, _ = normalise(np.frombuffer(b"".join(raw), np.uint8), offs)
+        self.text, self.offs, _ = normalise(*code_points(*string_buffers(pa.array([t for _, t in items], pa.string()))))
         grams = qgrams(self.text, self.offs, budget.q)
         at = np.flatnonzero(grams)
         at = at[np.argsort(grams[at], kind="stable")]
@@ -153,8 +178,8 @@ def aligned(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return cost[each, end], begin[each, end], end
 
 
-#: Stretches that are aligned at once, and a byte that no text holds (0xFF is not in UTF-8).
-_AT_ONCE, _NOTHING = 128, 0xFF
+#: Stretches that are aligned at once, and a code point that no text holds.
+_AT_ONCE, _NOTHING = 128, 0xFFFFFFFF
 
 
 def _verified(index: BenchmarkIndex, item: int, spots: np.ndarray, diagonal: int, text: np.ndarray):
@@ -175,7 +200,7 @@ def _verified(index: BenchmarkIndex, item: int, spots: np.ndarray, diagonal: int
         wide = size + 2 * room
         left = np.clip(starts + diagonal - room, 0, len(text))
         first, last = int(left[0]), min(len(text), int(left[-1]) + wide)
-        near = np.full(int(left[-1]) + wide - first, _NOTHING, np.uint8)
+        near = np.full(int(left[-1]) + wide - first, _NOTHING, np.uint32)
         near[: last - first] = text[first:last]
         cost, begin, end = aligned(whole[starts[:, None] + np.arange(size)], near[(left - first)[:, None] + np.arange(wide)])
         k = int(cost.argmin())
@@ -202,12 +227,17 @@ def _verified(index: BenchmarkIndex, item: int, spots: np.ndarray, diagonal: int
     return found
 
 
+#: Pairs of a place in a text and an occurrence in the benchmark that are looked at together.
+PAIRS = 1_000_000
+
+
 def regions(index: BenchmarkIndex, data: np.ndarray, offs: np.ndarray) -> list[tuple]:
     """(text number, item number, begin, end, item begin, item end, edits) of the best region per text and item.
 
-    `begin` and `end` are byte places in the text.
+    `begin` and `end` are places among the code points of all texts.
     """
-    text, bounds, place = normalise(data, offs)
+    points, starts = code_points(data, offs)
+    text, bounds, place = normalise(points, starts)
     budget = index.budget
     if not len(index.grams) or not len(text):
         return []
@@ -215,28 +245,84 @@ def regions(index: BenchmarkIndex, data: np.ndarray, offs: np.ndarray) -> list[t
     owner = np.searchsorted(bounds, at, side="right") - 1
     keep = _dense(at, owner, index.least, budget.length + budget.edits - budget.q)
     at, number, owner = at[keep], number[keep], owner[keep]
-    if not len(at):
-        return []
-    times = index.times[number]
-    many = np.repeat(np.arange(len(at)), times)
-    nth = np.arange(len(many)) - np.repeat(np.cumsum(times) - times, times)
-    source = index.first[number][many] + nth
-    item, spot = index.item_of[source], index.at[source] - index.offs[index.item_of[source]]
-    owner, local = owner[many], at[many] - bounds[owner[many]]
-    diagonal = local - spot
     best: dict[tuple[int, int], tuple] = {}
+    # texts whose pairs are few go together, one with very many (a ruler, a grid of numbers) goes by slices of its diagonals
+    edges = np.append(np.flatnonzero(np.concatenate(([True], owner[1:] != owner[:-1]))), len(owner)) if len(owner) else np.zeros(1, int)
+    weight = np.add.reduceat(index.times[number], edges[:-1]) if len(owner) else np.zeros(0, int)
+    begin = 0
+    while begin < len(weight):
+        end = begin + 1
+        total = int(weight[begin])
+        while end < len(weight) and total + weight[end] <= PAIRS:
+            total += int(weight[end])
+            end += 1
+        here = slice(edges[begin], edges[end])
+        _search(index, text, bounds, place, at[here], number[here], owner[here], total, best)
+        begin = end
+    return [best[k] for k in sorted(best)]
+
+
+def _spread(begin: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the run, place) of every place of the runs that begin at `begin` and are `times` long."""
+    many = np.repeat(np.arange(len(times)), times)
+    return many, begin[many] + np.arange(len(many)) - np.repeat(np.cumsum(times) - times, times)
+
+
+def _search(index: BenchmarkIndex, text, bounds, place, at, number, owner, total: int, best: dict) -> None:
+    """Regions among hits. If there are more than `PAIRS` pairs, all of one text, item by item and in slices of diagonals."""
+    if total <= PAIRS:
+        many, source = _spread(index.first[number], index.times[number])
+        item = index.item_of[source]
+        _among(index, text, bounds, place, owner[many], item, index.at[source] - index.offs[item], at[many] - bounds[owner[many]], None, best)
+        return
+    width, doc, local = 2 * max(1, index.budget.edits), int(owner[0]), at - bounds[owner[0]]
+    gram_of = np.repeat(np.arange(len(index.grams)), index.times)
+    met = np.zeros(len(index.grams), dtype=bool)
+    met[number] = True
+    for i in np.unique(index.item_of[met[gram_of]]).tolist():
+        size = int(index.offs[i + 1] - index.offs[i])
+        own = np.flatnonzero((index.item_of == i) & met[gram_of])
+        # the item's occurrences by q-gram and place, so that those of a range of diagonals are a run for every place of the text
+        reach = size + 1
+        keys = gram_of[own] * reach + index.at[own] - index.offs[i]
+        most = int(np.unique(gram_of[own], return_counts=True)[1].max())
+        step = max(2 * width, PAIRS // most - size, int(np.sqrt(PAIRS + size * size / 4) - size / 2))
+        for low in range(-size - width, int(local[-1]) + 1, step):
+            had = best.get((doc, i))
+            if had and had[6] == 0 and had[5] - had[4] == size:
+                break  # an item that is there whole and without an edit cannot be found better
+            high = low + step
+            here = slice(*np.searchsorted(local, [low - width, high + size + 2 * width]))
+            spot_from = np.clip(local[here] - high - width, 0, reach - 1)
+            spot_to = np.clip(local[here] - low + width + 1, 0, reach)
+            begin = np.searchsorted(keys, number[here] * reach + spot_from)
+            end = np.searchsorted(keys, number[here] * reach + np.maximum(spot_to, spot_from) - 1, side="right")
+            many, source = _spread(begin, np.maximum(end - begin, 0))
+            if len(many):
+                spot = index.at[own[source]] - index.offs[i]
+                _among(index, text, bounds, place, np.full(len(many), doc), np.full(len(many), i), spot, local[here][many], (low, high), best)
+
+
+def _among(index: BenchmarkIndex, text, bounds, place, owner, item, spot, local, cut, best: dict) -> None:
+    """Regions among pairs (text, item, place in the item, place in the text); with `cut` those of bands that begin in a range."""
+    budget = index.budget
+    diagonal = local - spot
     width = 2 * max(1, budget.edits)
     for offset in (0, width // 2):  # bands overlap by half: any `edits` + 1 neighbours lie in one of them
         band = (diagonal + offset) // width
         order = np.lexsort((spot, band, item, owner))
+        if cut is not None:
+            begins = band[order] * width - offset
+            order = order[(begins >= cut[0]) & (begins < cut[1])]
+        if not len(order):
+            continue
         key = np.stack([owner, item, band], axis=1)[order]
         spots, diagonals = spot[order], diagonal[order]
-        edges = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1).tolist(), len(order)]
-        for a, z in zip(edges[:-1], edges[1:]):
+        edges = np.append(np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1)))), len(order))
+        enough = np.diff(edges) >= index.bounds[key[edges[:-1], 1], 2]
+        for a, z in zip(edges[:-1][enough].tolist(), edges[1:][enough].tolist()):
             doc, i = int(key[a, 0]), int(key[a, 1])
             n, e, least = index.bounds[i].tolist()
-            if z - a < least:
-                continue
             here = np.unique(spots[a:z])
             dense = _dense(here, np.zeros(len(here), np.int64), least, n - budget.q)
             if not dense.any():
@@ -245,30 +331,78 @@ def regions(index: BenchmarkIndex, data: np.ndarray, offs: np.ndarray) -> list[t
             breaks = np.flatnonzero(np.diff(kept) > n - budget.q) + 1
             for part in np.split(kept, breaks):
                 low, high = int(part[0]), int(part[-1]) + budget.q
-                among = (spots[a:z] >= low) & (spots[a:z] < high)
-                middle = int(np.median(diagonals[a:z][among]))
                 had = best.get((doc, i))
                 if had and had[6] == 0 and had[4] <= low and had[5] >= high:
                     continue
+                among = (spots[a:z] >= low) & (spots[a:z] < high)
+                middle = int(np.median(diagonals[a:z][among]))
                 got = _verified(index, i, part, middle, text[bounds[doc] : bounds[doc + 1]])
                 if got and (had is None or (got[4], got[2] - got[3]) < (had[6], had[4] - had[5])):
-                    first, last = place[bounds[doc] + got[0]], place[bounds[doc] + max(got[0], got[1] - 1)]
-                    best[(doc, i)] = (doc, i, int(first), int(last) + 1, got[2], got[3], got[4])
-    return [best[k] for k in sorted(best)]
+                    begin, end = place[bounds[doc] + got[0]], place[bounds[doc] + max(got[0], got[1] - 1)]
+                    best[(doc, i)] = (doc, i, int(begin), int(end) + 1, got[2], got[3], got[4])
+
+
+#: Bits of the filter over all q-grams of the benchmark, and places of a q-gram in it.
+FILTER_BITS, FILTER_PLACES = 27, 2
+
+
+class GramFilter:
+    """A filter of fixed size over all q-grams of a benchmark of any size; it passes every text that holds a region, and few others."""
+
+    def __init__(self, budget: Budget):
+        self.budget, self.least = budget, 1 << 30
+        self.bits = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+
+    @staticmethod
+    def _places(grams: np.ndarray) -> list[np.ndarray]:
+        return [(odd_numbers(FILTER_PLACES, 41)[k] * grams) >> np.uint64(64 - FILTER_BITS) for k in range(FILTER_PLACES)]
+
+    def add(self, index: BenchmarkIndex) -> None:
+        self.least = min(self.least, index.least) if len(index.grams) else self.least
+        for at in self._places(index.grams):
+            np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+
+    def passes(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """Texts that have enough q-grams of the benchmark within the reach of a region."""
+        text, bounds, _ = normalise(*code_points(data, offs))
+        grams = qgrams(text, bounds, self.budget.q)
+        known = grams != 0
+        for at in self._places(grams):
+            known &= (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+        at = np.flatnonzero(known)
+        owner = np.searchsorted(bounds, at, side="right") - 1
+        found = np.zeros(len(offs) - 1, dtype=bool)
+        found[owner[_dense(at, owner, self.least, self.budget.length + self.budget.edits - self.budget.q)]] = True
+        return found
 
 
-def _code_points(data: np.ndarray, begin: int, end: int) -> int:
-    return int(((data[begin:end] & 0xC0) != 0x80).sum())
+class _Benchmark:
+    """The items of a benchmark in blocks, each indexed when it is asked for."""
 
+    def __init__(self, benchmark: DataFrame, item_col: str, text_col: str, budget: Budget):
+        items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text")).where("text is not null")
+        total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        self.n, self.items, self.budget = max(1, -(-total // BLOCK_BYTES)), items, budget
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, budget: Budget) -> Iterator[BenchmarkIndex]:
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text")).where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-total // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    for b in range(n):
-        rows = items.where(block == b).distinct().collect()
-        yield BenchmarkIndex(sorted(((r["item"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0], r[1])), budget)
+    def blocks(self) -> Iterator[BenchmarkIndex]:
+        block = F.pmod(F.xxhash64("item", "text"), F.lit(self.n))
+        for b in range(self.n):
+            rows = self.items.where(block == b).distinct().collect()
+            yield BenchmarkIndex(sorted(((r["item"], r["text"]) for r in rows), key=lambda r: (r[0] is None, r[0], r[1])), self.budget)
+
+    def candidates(self, docs: DataFrame, text_col: str) -> DataFrame:
+        """Of many blocks' sake, the rows of `docs` that may hold a region of any item, written: the blocks read these alone."""
+        passing = GramFilter(self.budget)
+        for index in self.blocks():
+            passing.add(index)
+        sent = docs.sparkSession.sparkContext.broadcast(passing)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for piece in pieces(batch, text_col):
+                    yield piece.filter(pa.array(sent.value.passes(*string_buffers(piece.column(text_col)))))
+
+        return materialize(docs.mapInArrow(run, docs.schema), "candidates")
 
 
 def leaked_passages(
@@ -291,16 +425,24 @@ def leaked_passages(
     gives an empty result.
     """
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    kind = "id long, item long, start long, end long, item_start long, item_end long, edits long, item_chars long"
+    known = _Benchmark(benchmark, item_col, item_text_col, budget)
+    if known.n > 1:
+        source = known.candidates(source, "text")
     context = docs.sparkSession.sparkContext
     found = None
-    for index in _blocks(benchmark, item_col, item_text_col, budget):
+    for index in known.blocks():
         sent = context.broadcast(index)
-        part = source.mapInArrow(_find(sent), kind)
+        part = source.mapInArrow(_find(sent), _FOUND)
+        if known.n > 1:  # written at once, so that one block's index is held at a time
+            part = materialize(part, "leaks")
+            sent.destroy()
         found = part if found is None else found.unionByName(part)
     return found.withColumnRenamed("id", id_col).withColumnRenamed("item", item_col)
 
 
+_FOUND = "id long, item long, start long, end long, item_start long, item_end long, edits long, item_chars long"
+
+
 def _find(sent):
     names = ["id", "item", "start", "end", "item_start", "item_end", "edits", "item_chars"]
 
@@ -310,10 +452,11 @@ def _find(sent):
             for piece in pieces(batch, "text"):
                 data, offs = string_buffers(piece.column("text"))
                 ids, rows = piece.column("id").to_pylist(), []
+                starts = None
                 for doc, i, begin, end, a, z, edits in regions(index, data, offs):
-                    first = _code_points(data, offs[doc], begin)
-                    last = first + _code_points(data, begin, end)
-                    rows.append((ids[doc], index.ids[i], first, last, a, z, edits, int(index.offs[i + 1] - index.offs[i])))
+                    starts = code_points(data, offs)[1] if starts is None else starts
+                    first = int(starts[doc])
+                    rows.append((ids[doc], index.ids[i], begin - first, end - first, a, z, edits, int(index.offs[i + 1] - index.offs[i])))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
 
@@ -335,8 +478,24 @@ def _drop(sent, text_col: str):
 def drop_leaks(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", budget: Budget = Budget()
 ) -> DataFrame:
-    """Rows of `docs` in whose text no benchmark passage was found (see `leaked_passages`), with all their columns."""
+    """Rows of `docs` in whose text no benchmark passage was found (see `leaked_passages`), with all their columns.
+
+    Rows with a null or empty text stay, repeated rows stay or go together, rows with a null id are judged like any other. A benchmark
+    of one block is looked for while the documents are read. One of more is looked for in the candidates alone, and
+    documents whose text is found there go.
+    """
+    known = _Benchmark(benchmark, item_col, item_text_col, budget)
     context = docs.sparkSession.sparkContext
-    for index in _blocks(benchmark, item_col, item_text_col, budget):
-        docs = docs.mapInArrow(_drop(context.broadcast(index), text_col), docs.schema)
-    return docs
+    if known.n == 1:
+        return docs.mapInArrow(_drop(context.broadcast(next(known.blocks())), text_col), docs.schema)
+    texts = docs.select(F.sha2(F.col(text_col), 256).alias("digest"), F.col(text_col).alias("text")).where("text is not null")
+    candidates = known.candidates(texts, "text")
+    leaks = None
+    for index in known.blocks():
+        sent = context.broadcast(index)
+        clean = candidates.mapInArrow(_drop(sent, "text"), candidates.schema).select("digest").distinct()
+        found = materialize(candidates.select("digest").distinct().join(clean, "digest", "left_anti"), "leaks")
+        sent.destroy()
+        leaks = found if leaks is None else leaks.unionByName(found)
+    gone = lookup_side(leaks.distinct())
+    return docs.join(gone, F.sha2(F.col(text_col), 256) == gone["digest"], "left_anti")

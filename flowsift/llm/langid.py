@@ -222,12 +222,19 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def train_language_model(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 800, most_languages: int = 200
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    per_language: int = 800,
+    most_languages: int = 200,
+    reject: bool = False,
 ) -> Network | None:
     """Fit the network on a bounded sample of the labelled rows that are not held out; None without any label.
 
     The sample has about `per_language` texts of each language, picked by a hash of id and text from all of them; of each text one
     window of 400 characters at a place given by the hash goes to the driver. More than `most_languages` labels are an error.
+    With `reject` the network learns one label more, `REJECT`, from texts that are in none of the languages (`strange_texts`).
     """
     known = docs.where(~held_out(id_col)).where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
     sizes = {r["lang"]: r["n"] for r in known.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).limit(most_languages + 1).collect()}
@@ -244,7 +251,39 @@ def train_language_model(
     window = F.substring(F.col(text_col), begin.cast("int"), F.lit(400))
     rows = known.where(uniform < share).select(window.alias("text"), F.col(lang_col).alias("lang"), draw.alias("draw")).collect()
     rows.sort(key=lambda r: (r["draw"], r["lang"]))
-    return fit_network([r["text"].encode() for r in rows], [r["lang"] for r in rows])
+    texts, names = [r["text"].encode() for r in rows], [r["lang"] for r in rows]
+    if reject:
+        strange = strange_texts(texts, per_language)
+        texts, names = texts + strange, names + [REJECT] * len(strange)
+    return fit_network(texts, names)
+
+
+#: Label of texts that are in none of the learnt languages; no language has a name without letters.
+REJECT = "-"
+# First and last letter of alphabets, by Unicode's code charts.
+_ALPHABETS = ((0x391, 0x3C9), (0x410, 0x44F), (0x5D0, 0x5EA), (0x621, 0x64A), (0x905, 0x939), (0xE01, 0xE2E), (0x3041, 0x3096), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3))
+
+
+def strange_texts(texts: list[bytes], n: int, seed: int = 11) -> list[bytes]:
+    """`n` texts in no language: alphabets that occur in none of the sampled `texts`, and a few letters again and again.
+
+    An alphabet that the sampled texts use in earnest (one letter in a thousand or more) is left out. Prose with its letters dealt
+    anew is not among them: beside short or careless texts of a learnt language it would be told from them by chance.
+    """
+    rng = np.random.default_rng(seed)
+    letters = np.array([ord(c) for t in texts for c in t.decode("utf-8", "replace") if c.isalpha()], np.int64)
+    foreign = [(a, z) for a, z in _ALPHABETS if ((letters >= a) & (letters <= z)).sum() * 1000 < len(letters)]
+    out: list[bytes] = []
+    for i in range(n):
+        if i % 2 and foreign:
+            a, z = foreign[int(rng.integers(len(foreign)))]
+            narrow = a + int(rng.integers(max(1, z - a - 60)))
+            words = [rng.integers(narrow, min(z, narrow + 60) + 1, int(rng.integers(1, 9))) for _ in range(60)]
+            out.append(" ".join("".join(map(chr, w.tolist())) for w in words).encode())
+        else:
+            few = rng.integers(97, 123, int(rng.integers(1, 3)))
+            out.append((bytes(few.astype(np.uint8).tolist()) + b" " * int(rng.integers(2))) * 100)
+    return out
 
 
 def identify(docs: DataFrame, net: Network | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -261,15 +300,21 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text", keep:
 
 
 def keep_identified(docs: DataFrame, net: Network | None, least: float, text_col: str = "text") -> DataFrame:
-    """Rows of `docs`, all their columns, whose text has a language: not `und`, and a score of `least` or more."""
+    """Rows of `docs`, all their columns, whose text has a language: not `und`, not the reject class, and a score of `least` or more.
+
+    Null and empty texts go; repeated rows and rows with null ids are judged one by one; an empty table gives an empty result.
+    Without a model nothing can be told, which is an error and no empty result.
+    """
     if net is None:
-        return docs.limit(0)
+        raise ValueError("no language model: the corpus has no labelled text to learn from")
+    reject = np.array([x == REJECT for x in net.labels])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in pieces(batch, text_col):
                 data, offs = string_buffers(piece.column(text_col))
                 p = document_probabilities(net, data, offs)
-                yield piece.filter(pa.array((p.max(axis=1) >= least) & has_letter(piece.column(text_col), data, offs)))
+                sound = (p.max(axis=1) >= least) & ~reject[p.argmax(axis=1)]
+                yield piece.filter(pa.array(sound & has_letter(piece.column(text_col), data, offs)))
 
     return short_batches(docs).mapInArrow(run, docs.schema)

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowsift.llm.arrays import Words, mix, odd_numbers, pieces, string_buffers
+from flowsift.session import materialize
 
 #: Bytes of letters and digits; all others part words.
 _PART = np.full(256, 0x20, np.uint8)
@@ -110,38 +111,47 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
 
 
-def _all_words(texts: list[str], step: int = 100) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, feature hash, times) of all texts, put together from small slices so that little is held at once."""
-    parts = []
-    for a in range(0, len(texts), step):
-        rows, hashes, times, _ = word_counts(pa.array(texts[a : a + step], pa.string()), None)
-        parts.append(((rows + a).astype(np.int32), hashes, times.astype(np.int32)))
-    return tuple(np.concatenate(x) for x in zip(*parts))
+def _words_of_texts(features: np.ndarray | None):
+    """Rows (number, value, times, toxic) of the features of each text; hashes as signed numbers if no list is given."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                rows, values, times, _ = word_counts(piece.column("text"), features)
+                owner = pa.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column("number").take(owner), pa.array(values.view(np.int64)), pa.array(times, pa.int64()), piece.column("toxic").take(owner)],
+                    names=["number", "value", "times", "toxic"],
+                )
+
+    return run
+
+
+_COUNTED = "number long, value long, times long, toxic int"
 
 
-def fit_severity(texts: list[str], toxic: list[bool], levels: int = 3, features: int = 400, least_texts: int = 5, least_gain: float = 15.0) -> SeverityModel:
-    """Choose the feature words, grade the toxic texts, and fit the model.
+def choose_features(
+    sample: DataFrame, n_toxic: int, n_clean: int, features: int = 400, least_texts: int = 5, least_gain: float = 15.0
+) -> np.ndarray:
+    """Sorted hashes of the feature words of `sample` (`number`, `text`, `toxic`); only these, `features` at most, leave the tasks.
 
-    Feature words stand in `least_texts` texts or more and are those whose document counts differ most between the two sides, by
-    the G statistic; `least_gain` of it is asked for.
+    Feature words stand in `least_texts` texts or more and are those whose document counts, taken by Spark over the whole sample,
+    differ most between the two sides, by the G statistic; `least_gain` of it is asked for, beyond what many tried words
+    give by chance. Only marks of toxicity are wanted: words more than three times as common there.
     """
-    y = np.array(toxic, dtype=bool)
-    rows, hashes, times = _all_words(texts)
-    distinct, code = np.unique(hashes, return_inverse=True)
-    bad = np.bincount(code[y[rows]], minlength=len(distinct)).astype(float)
-    good = np.bincount(code[~y[rows]], minlength=len(distinct)).astype(float)
-    n_bad, n_good = max(1, y.sum()), max(1, (~y).sum())
-    total = bad + good
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = 2 * (bad * np.log(bad / (total * n_bad / len(y))) + np.where(good > 0, good * np.log(good / (total * n_good / len(y))), 0))
-    # only marks of toxicity are wanted: words much commoner there, beyond what many tried words give by chance
-    chosen = np.flatnonzero((total >= least_texts) & (bad / n_bad > 3 * good / n_good) & (gain > least_gain))
-    chosen = chosen[np.argsort(-gain[chosen], kind="stable")[:features]]
-    names = np.sort(distinct[chosen])
-    number = np.searchsorted(names, hashes)
-    number = np.minimum(number, max(0, len(names) - 1))
-    mine = (names[number] == hashes) if len(names) else np.zeros(len(hashes), dtype=bool)
-    rows, columns, values = rows[mine], number[mine], np.log1p(times[mine])
+    words = sample.mapInArrow(_words_of_texts(None), _COUNTED).groupBy("value")
+    counts = words.agg(F.count_if(F.col("toxic") == 1).alias("bad"), F.count_if(F.col("toxic") == 0).alias("good"))
+    bad, good, n = F.col("bad").cast("double"), F.col("good").cast("double"), float(n_toxic + n_clean)
+    part = lambda k, side: F.when(k > 0, k * F.log(k / ((bad + good) * side / n))).otherwise(0.0)
+    marked = counts.where((bad + good >= least_texts) & (bad / n_toxic > 3 * good / n_clean))
+    marked = marked.withColumn("gain", 2 * (part(bad, n_toxic) + part(good, n_clean))).where(F.col("gain") > least_gain)
+    found = marked.orderBy(F.desc("gain"), "value").limit(features).select("value").collect()
+    return np.sort(np.array([r["value"] for r in found], np.int64).view(np.uint64))
+
+
+def fit_severity(rows: np.ndarray, columns: np.ndarray, times: np.ndarray, toxic: np.ndarray, names: np.ndarray, levels: int = 3) -> SeverityModel:
+    """Grade the toxic texts by how much of the lexicon `names` they hold, and fit the model."""
+    y, values = toxic.astype(bool), np.log1p(times)
     amount = np.bincount(rows, values, len(y))
     grades = np.zeros(len(y), np.int64)
     ranked = np.argsort(np.argsort(amount[y], kind="stable"), kind="stable")
@@ -156,29 +166,37 @@ def train_severity_model(
     id_col: str = "doc_id",
     text_col: str = "text",
     toxic_col: str = "toxic",
-    most_toxic: int = 1000,
-    most_clean: int = 2000,
+    most_toxic: int = 1500,
+    most_clean: int = 3000,
     longest: int = 50_000,
     levels: int = 3,
 ) -> SeverityModel | None:
     """Fit on a bounded sample of labelled documents: about `most_toxic` toxic and `most_clean` others, drawn from all by a hash of
-    the id. Rows with a null label, id or text and texts of more than `longest` characters are not learnt from; None if one side
-    is missing."""
-    known = labels.where(F.col(id_col).isNotNull() & F.col(toxic_col).isNotNull())
+    the id. Rows with a null label (or one that is neither 0 nor 1), id or text and texts of more than `longest` characters are
+    not learnt from; None if one side is missing. The sample is written; words are counted in tasks, and what reaches the
+    driver is one row per sampled text and feature in it."""
+    known = labels.where(F.col(id_col).isNotNull() & F.col(toxic_col).cast("int").isin(0, 1))
     known = known.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(toxic_col).cast("int")).alias("toxic"))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return None
     uniform = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("toxic") == 1, most_toxic / sizes[1]).otherwise(most_clean / sizes[0])
-    drawn = known.where((uniform < share) & F.col("toxic").isin(0, 1)).limit(2 * (most_toxic + most_clean))
+    drawn = known.where(uniform < share).limit(2 * (most_toxic + most_clean))
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     texts = texts.where(F.length("text") <= longest)
-    rows = texts.join(F.broadcast(drawn), "id").select("id", "text", "toxic").collect()  # `drawn` is limited above
-    rows.sort(key=lambda r: (r["id"], r["text"]))
-    if len({r["toxic"] for r in rows}) < 2:
+    rows = texts.join(F.broadcast(drawn), "id")  # `drawn` is limited above
+    sample = materialize(rows.select(F.monotonically_increasing_id().alias("number"), "text", "toxic"), "labelled")
+    sides = np.array(sorted((r["number"], r["toxic"]) for r in sample.select("number", "toxic").collect()), np.int64).reshape(-1, 2)
+    toxic = sides[:, 1] == 1
+    if not toxic.any() or toxic.all():
         return None
-    return fit_severity([r["text"] for r in rows], [r["toxic"] == 1 for r in rows], levels)
+    names = choose_features(sample, int(toxic.sum()), int((~toxic).sum()))
+    if not len(names):
+        return SeverityModel(names, np.zeros(1), np.array([np.inf]))
+    found = sample.mapInArrow(_words_of_texts(names), _COUNTED).orderBy("number", "value").toArrow()
+    number, column, times = (found.column(c).to_numpy() for c in ("number", "value", "times"))
+    return fit_severity(np.searchsorted(sides[:, 0], number), column, times, toxic, names, levels)
 
 
 def _score(model: SeverityModel):

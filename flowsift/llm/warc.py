@@ -7,8 +7,8 @@ covers lost executors and any Hadoop file system will do. Archives are read file
 
 from __future__ import annotations
 
-import gzip
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -120,24 +120,90 @@ def _fields(raw: bytes) -> list[tuple[str, str]]:
     return found
 
 
-def records_of(content: bytes) -> Iterator[dict]:
-    """Records of one archive file, found by their lengths alone, so a payload may hold anything."""
-    data = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+def _unpacked(content: bytes, step: int = 1 << 20) -> Iterator[bytes]:
+    """An archive's plain bytes bit by bit; of a gzip file with any number of members no more than a step is unpacked at once."""
+    if content[:2] != b"\x1f\x8b":
+        yield from (content[a : a + step] for a in range(0, len(content), step))
+        return
     at = 0
-    while at < len(data):
-        if data[at : at + 2] == b"\r\n":
-            at += 2
-            continue
-        cut = data.find(b"\r\n\r\n", at)
-        if data[at : at + 5] != b"WARC/" or cut < 0:
-            raise ValueError(f"no record at byte {at}")
-        head = _fields(data[at:cut])
+    while at < len(content):
+        member = zlib.decompressobj(wbits=31)
+        while not member.eof:
+            cut = content[at : at + step]
+            if not cut and not member.unconsumed_tail:
+                raise ValueError("the archive is cut off")
+            at += len(cut)
+            held = member.unconsumed_tail + cut
+            while held and not member.eof:
+                yield member.decompress(held, 4 * step)
+                held = member.unconsumed_tail
+        at -= len(member.unused_data)
+
+
+class _Stream:
+    """Bytes of an archive that are still to be read; what has been read is let go."""
+
+    def __init__(self, content: bytes):
+        self.parts, self.held, self.at, self.passed = _unpacked(content), bytearray(), 0, 0
+
+    def _more(self) -> bool:
+        part = next(self.parts, None)
+        if part is None:
+            return False
+        if self.at:
+            del self.held[: self.at]
+            self.passed += self.at
+            self.at = 0
+        self.held += part
+        return True
+
+    def skip_breaks(self) -> bool:
+        """Pass over line breaks between records; whether anything follows."""
+        while True:
+            while self.held[self.at : self.at + 2] == b"\r\n":
+                self.at += 2
+            if len(self.held) - self.at > 1:
+                return True
+            if not self._more():
+                return len(self.held) > self.at
+
+    def until(self, mark: bytes) -> bytes | None:
+        """Bytes up to `mark`, which is passed over; None if it does not come."""
+        begin = self.at
+        while True:
+            cut = self.held.find(mark, begin)
+            if cut >= 0:
+                found = bytes(self.held[self.at : cut])
+                self.at = cut + len(mark)
+                return found
+            read = max(0, len(self.held) - self.at - len(mark) + 1)
+            if not self._more():
+                return None
+            begin = self.at + read
+
+    def take(self, size: int) -> bytes | None:
+        while len(self.held) - self.at < size:
+            if not self._more():
+                return None
+        found = bytes(self.held[self.at : self.at + size])
+        self.at += size
+        return found
+
+
+def records_of(content: bytes) -> Iterator[dict]:
+    """Records of one archive file, found by their lengths alone, so a payload may hold anything. One record is held at a time."""
+    data = _Stream(content)
+    while data.skip_breaks():
+        begin = data.passed + data.at
+        top = data.until(b"\r\n\r\n")
+        if top is None or not top.startswith(b"WARC/"):
+            raise ValueError(f"no record at byte {begin}")
+        head = _fields(top)
         named = {k.lower(): v for k, v in head}
-        begin, size = cut + 4, int(named["content-length"])
-        if begin + size > len(data):
-            raise ValueError(f"the record at byte {at} is cut off")
-        block, kind = data[begin : begin + size], named.get("warc-type", "")
-        at = begin + size
+        size = int(named["content-length"])
+        block, kind = data.take(size), named.get("warc-type", "")
+        if block is None:
+            raise ValueError(f"the record at byte {begin} is cut off")
         fields, payload = [], block
         if "application/http" in named.get("content-type", ""):
             top, _, payload = block.partition(b"\r\n\r\n")
@@ -199,12 +265,12 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> D
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per transaction: `capture_id`, `request`, `response`, `metadata`, `n_requests`, `n_metadata`.
+    """One nested row per transaction: `capture_id`, `requests`, `response`, `metadata`, `n_requests`, `n_metadata`.
 
     A response or revisit stands under its own id, other records under the ids they are concurrent to; a metadata record that
-    names a request goes where that request goes. `response` is null where only the other parts are there, and the other way
-    round. Of several requests or metadata records of a transaction the one with the smallest id is shown and all are counted,
-    so a transaction never outgrows a row.
+    names a request goes where that request goes. `requests` and `metadata` are arrays of all their records by record id, without
+    payloads; the bytes of a request stay in its record. `response` is null and the arrays are empty where a transaction has no
+    such part. Records that repeat an id are all there, and of repeated responses the smallest.
     """
     main = records.where(F.col("type").isin("response", "revisit"))
     side = records.where(F.col("type").isin("request", "metadata")).select("*", F.explode_outer("concurrent_to").alias("to"))
@@ -216,20 +282,21 @@ def assemble(records: DataFrame) -> DataFrame:
         .unionByName(side.where("type = 'request'").withColumn("key", F.coalesce("to", "record_id")).drop("concurrent_to", "to"))
         .unionByName(meta.withColumn("key", F.coalesce("via", "to", "record_id")).drop("concurrent_to", "to", "via"))
     )
-    part = F.struct("record_id", "type", "refers_to", "uri", "block_bytes", "payload_bytes", "payload_digest", "fields", "payload")
-    of = lambda *kinds: F.when(F.col("type").isin(*kinds), part)
+    shown = ["record_id", "type", "refers_to", "uri", "block_bytes", "payload_bytes", "payload_digest", "fields"]
+    answer = F.when(F.col("type").isin("response", "revisit"), F.struct(*shown, "payload"))
+    sides = lambda kind: F.sort_array(F.collect_list(F.when(F.col("type") == kind, F.struct(*shown))))
     return keyed.groupBy(F.col("key").alias("capture_id")).agg(
-        F.min(of("request")).alias("request"),
-        F.min(of("response", "revisit")).alias("response"),
-        F.min(of("metadata")).alias("metadata"),
+        sides("request").alias("requests"),
+        F.min(answer).alias("response"),
+        sides("metadata").alias("metadata"),
         F.count_if(F.col("type") == "request").alias("n_requests"),
         F.count_if(F.col("type") == "metadata").alias("n_metadata"),
     )
 
 
-def field(part: str, name: str) -> Column:
-    """Value of the first field of this name in a part of an assembled transaction."""
-    return F.get(F.filter(F.col(f"{part}.fields"), lambda x: F.lower(x["name"]) == name), F.lit(0))["value"]
+def field(fields: Column, name: str) -> Column:
+    """Value of the first of `fields` with this name."""
+    return F.get(F.filter(fields, lambda x: F.lower(x["name"]) == name), F.lit(0))["value"]
 
 
 def archive_round_trip(pages: DataFrame, with_payload: bool = False) -> DataFrame:
@@ -237,4 +304,4 @@ def archive_round_trip(pages: DataFrame, with_payload: bool = False) -> DataFram
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archives(pages, path)
-    return assemble(read_records(spark, path, with_payload)).withColumn("page_id", field("metadata", "page-id").try_cast("long"))
+    return assemble(read_records(spark, path, with_payload)).withColumn("page_id", field(F.get("metadata", F.lit(0))["fields"], "page-id").try_cast("long"))

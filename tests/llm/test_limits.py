@@ -1,6 +1,7 @@
 """Cases at the limits that the operators state: nothing inside them is lost."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -142,3 +143,85 @@ def test_messages_reach_the_end_of_a_long_chain():
     step = np.exp(model.chain) / np.exp(model.chain).sum(axis=1, keepdims=True)
     exact = np.array([np.linalg.matrix_power(step, i)[1] for i in range(n)])
     assert np.abs(pii.marginals(graph, model) - exact).max() < 0.01
+
+
+def _regions(items, texts, pairs=None):
+    index = decontaminate.BenchmarkIndex(list(enumerate(items)), decontaminate.Budget())
+    return index, decontaminate.regions(index, *string_buffers(pa.array(texts)))
+
+
+def test_lengths_and_places_are_characters():
+    """Accents, dashes, quotes, Chinese and characters of four bytes; case and punctuation beyond ASCII are folded."""
+    rng = random.Random(5)
+    letters = "äéßñøçабвгдежз中文字語書車東西南北𝄞𝔸"
+    some = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    items = [some(121), some(300), "ÉCOLE – “Zürich” " * 9, some(79)]
+    index, _ = _regions(items, [""])
+    assert np.diff(index.offs).tolist()[:2] == [121, 300] and index.item_text(2)[:12].astype("<u4").tobytes().decode("utf-32-le") == "école zürich"
+    texts, wanted = [], {}
+    for i, item in enumerate(items):
+        for edits in (0, 1, 3):
+            part = list(item)
+            for k in range(edits):
+                part[7 + k * 23] = "x"
+            before = some(13) + " — "
+            texts.append(before + "".join(part).upper() if i == 2 else before + "".join(part) + "» " + some(20))
+            wanted[len(texts) - 1, i] = edits
+    _, found = _regions(items, texts)
+    assert {(r[0], r[1]) for r in found} == set(wanted)
+    whole = "".join(texts)
+    for doc, i, begin, end, a, z, edits in found:
+        if i in (0, 1):
+            assert wanted[doc, i] or (a, z, edits) == (0, len(items[i]), 0)
+            assert end - begin == z - a >= 80 and edits <= wanted[doc, i]
+            assert sum(x != y for x, y in zip(whole[begin:end], items[i][a:z])) == edits
+    # a copied stretch of 80 characters with five edits is inside the budget, whatever the alphabet
+    part = list(items[1][100:180])
+    for at in (2, 9, 25, 40, 55):
+        part[at] = "q"
+    assert [r[1] for r in _regions(items, [some(30) + "".join(part) + some(30)])[1]] == [1]
+
+
+def test_periodic_texts_stay_within_memory():
+    tracemalloc.start()
+    _, found = _regions(["a" * 300, "ab" * 200], ["a" * 1_000_000])
+    assert [(r[1], r[3] - r[2], r[6]) for r in found] == [(0, 300, 0)]
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20
+    tracemalloc.stop()
+
+
+def test_slices_of_diagonals_change_nothing(monkeypatch):
+    rng = random.Random(9)
+    some = lambda n: "".join(rng.choice("ab") for _ in range(n))
+    items = ["ab" * 150, some(200), "abc" * 60, some(90), "a" * 40 + some(100) + "b" * 40]
+    texts = [some(50) + (items[i][: rng.randint(80, 160)] + some(rng.randint(0, 90))) * rng.randint(1, 9) for i in range(5) for _ in range(4)]
+    for i in range(0, len(texts), 3):
+        t = list(texts[i])
+        for at in range(rng.randint(3, 40), len(t), 37):
+            t[at] = "0"
+        texts[i] = "".join(t)
+    one = _regions(items, texts)[1]
+    monkeypatch.setattr(decontaminate, "PAIRS", 20_000)
+    many = _regions(items, texts)[1]
+    assert [(r[0], r[1], r[6], r[5] - r[4]) for r in many] == [(r[0], r[1], r[6], r[5] - r[4]) for r in one] and len(one) >= 20
+
+
+def test_documents_are_read_once_for_many_blocks(spark, tmp_path, monkeypatch):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("etaoinshrdl") for _ in range(rng.randint(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, text(30)) for i in range(300)]
+    rows = [(i, text(60) + (" " + items[i][1] if i % 5 == 0 else "")) for i in range(300)] + [(300, None), (301, ""), (None, items[7][1])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    docs, bench = spark.read.parquet(str(tmp_path / "d")), spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(str, decontaminate.leaked_passages(docs, bench).collect()))
+    kept = sorted(map(str, decontaminate.drop_leaks(docs, bench).collect()))
+    assert len(one) == 61 and len(kept) == 303 - 61
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 5000)
+    reads, inner = [], decontaminate.materialize
+    monkeypatch.setattr(decontaminate, "materialize", lambda df, name: reads.append((name, str(tmp_path) in str(df.inputFiles()))) or inner(df, name))
+    found = decontaminate.leaked_passages(docs, bench)
+    assert sorted(map(str, found.collect())) == one
+    assert [name for name, whole in reads if whole] == ["candidates"] and sum(name == "leaks" for name, _ in reads) > 8
+    assert found.inputFiles() and not any(str(tmp_path) in f for f in found.inputFiles())
+    assert sorted(map(str, decontaminate.drop_leaks(docs, bench).collect())) == kept
