@@ -15,13 +15,13 @@ from flowsift.llm.minhash import near_duplicates
 from flowsift.llm.packing import Limits, pack_sequences
 from flowsift.session import materialize
 
-#: Texts whose best language has a smaller mean probability belong to none.
+#: Texts whose best language has a smaller mean probability over their bytes belong to none.
 LEAST_LANGUAGE_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a letter or without a language go."""
-    return langid.keep_identified(docs, langid.train_language_model(docs), LEAST_LANGUAGE_SCORE)
+    """Texts without a letter, texts that look more like none of the learnt languages than like one, and texts without a clear one go."""
+    return langid.keep_identified(docs, langid.train_language_model(docs, reject=True), LEAST_LANGUAGE_SCORE)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
