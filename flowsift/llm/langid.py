@@ -138,8 +138,11 @@ def fit_network(texts: list[bytes], labels: list[str], hidden: int = 8, steps: i
     return net
 
 
-def position_sums(net: Network, text: np.ndarray, live: np.ndarray) -> np.ndarray:
-    """Sum of label probabilities over the live positions of each column; `text` and `live` have CONTEXT rows at both ends."""
+def position_sums(net: Network, text: np.ndarray, live: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sum of label probabilities over the live positions of each column; `text` and `live` have CONTEXT rows at both ends.
+
+    `sizes` are the live positions of each column: the way back begins CONTEXT rows behind them, whatever stands in longer columns.
+    """
     w, (rows, cols) = net.weights, text.shape
     hidden, steps = w["fu"].shape[1], rows - 2 * CONTEXT
     ahead = np.empty((steps, hidden, cols), np.float32)
@@ -150,9 +153,13 @@ def position_sums(net: Network, text: np.ndarray, live: np.ndarray) -> np.ndarra
             ahead[t - CONTEXT] = h
     out = np.zeros((len(net.labels), cols), np.float32)
     h = np.zeros((hidden, cols), np.float32)
+    ends = sizes + 2 * CONTEXT
+    shortest = ends.min()
     vf, vb = w["v"][:, :hidden], w["v"][:, hidden:]
     for t in range(rows - 1, CONTEXT - 1, -1):
         h = _step(np.take(w["bx"], text[t], axis=1), h, w["bu"], w["bc"])[-1]
+        if t >= shortest:
+            h *= ends > t
         if t < rows - CONTEXT:
             p = vf @ ahead[t - CONTEXT]
             p += vb @ h
@@ -173,12 +180,13 @@ def document_probabilities(net: Network, data: np.ndarray, offs: np.ndarray) ->
     inner = (reach >= 0) & (reach < STRETCH)
     for a in range(0, len(of_text), SIDE_BY_SIDE):
         cut = slice(a, a + SIDE_BY_SIDE)
-        longest = int(np.minimum(high[cut] - begins[cut], STRETCH).max())
+        own = np.minimum(high[cut] - begins[cut], STRETCH)
+        longest = int(own.max())
         at = begins[cut] + reach[: longest + 2 * CONTEXT]
         valid = (at >= low[cut]) & (at < high[cut])
         text = np.where(valid, data[np.clip(at, 0, len(data) - 1)], 0).astype(np.uint8)
         live = (valid & inner[: longest + 2 * CONTEXT]).astype(np.float32)
-        got = position_sums(net, text, live)
+        got = position_sums(net, text, live, own)
         np.add.at(sums, of_text[cut], got.T)
     return np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], 1 / max(1, len(net.labels)))
 

@@ -5,9 +5,11 @@ import os
 import random
 import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -318,6 +320,50 @@ def test_network_gradients():
             assert abs((up - down) / 2e-5 - grads[name][at]) < 1e-6
 
 
+def _plain_probabilities(net, text):
+    """Mean label probabilities over a text, byte by byte and stretch by stretch, in double precision."""
+    w = {k: x.astype(float) for k, x in net.weights.items()}
+    hidden, n, ctx = w["fu"].shape[1], len(text), langid.CONTEXT
+    hard = lambda x: min(1.0, max(0.0, 0.25 * x + 0.5))
+
+    def step(d, byte, h):
+        x, a = w[f"{d}x"][:, byte], w[f"{d}u"] @ h + w[f"{d}c"][:, 0]
+        z = [hard(x[i] + a[i]) for i in range(hidden)]
+        r = [hard(x[hidden + i] + a[hidden + i]) for i in range(hidden)]
+        c = [np.tanh(x[2 * hidden + i] + r[i] * a[2 * hidden + i]) for i in range(hidden)]
+        return np.array([z[i] * h[i] + (1 - z[i]) * c[i] for i in range(hidden)])
+
+    total = np.zeros(len(net.labels))
+    for begin in range(0, n, langid.STRETCH):
+        size = min(langid.STRETCH, n - begin)
+        cut = [text[i] if 0 <= i < n else 0 for i in range(begin - ctx, begin + size + ctx)]
+        states = {}
+        for d, order in (("f", range(size + 2 * ctx)), ("b", range(size + 2 * ctx - 1, -1, -1))):
+            h = np.zeros(hidden)
+            for t in order:
+                h = states[d, t] = step(d, cut[t], h)
+        for t in range(ctx, ctx + size):
+            a = w["v"] @ np.concatenate([states["f", t], states["b", t]]) + w["o"][:, 0]
+            p = np.exp(a - a.max())
+            total += p / p.sum()
+    return total / n
+
+
+def test_network_like_a_plain_loop_over_bytes():
+    rng = random.Random(8)
+    net = langid.Network.fresh(["a", "b", "c"], 8, 3)
+    for x in net.weights.values():
+        x += np.random.default_rng(1).normal(0, 0.4, x.shape).astype(x.dtype)
+    texts = ["".join(rng.choice("abc déß中 .\n") for _ in range(rng.choice([1, 5, 17, 200, 600]))) for _ in range(60)]
+    texts += ["x" * n for n in (langid.STRETCH - 1, langid.STRETCH, langid.STRETCH + 1, 2 * langid.STRETCH + 3)]
+    data, offs = string_buffers(pa.array(texts))
+    got = langid.document_probabilities(net, data, offs)
+    wanted = np.array([_plain_probabilities(net, t.encode()) for t in texts])
+    assert np.abs(got - wanted).max() < 1e-5
+    alone = np.concatenate([langid.document_probabilities(net, *string_buffers(pa.array([t]))) for t in texts])
+    assert np.abs(got - alone).max() < 1e-6  # neighbours do not matter
+
+
 def test_benchmark_leaks(spark):
     random.seed(4)
     word = lambda: "".join(random.choice("etaoinshrd") for _ in range(random.randint(2, 9)))
@@ -376,6 +422,81 @@ def test_severity(spark, edge):
     assert toxicity.score_severity(edge, None).agg(F.max("severity")).first()[0] == 0
 
 
+def _plain_features(text):
+    """Counter of words and beginnings of words of a text."""
+    found, part = Counter(), bytearray()
+    for byte in (text or "").encode() + b" ":
+        if chr(byte).isalnum() and byte < 0x80 or byte >= 0x80:
+            part.append(byte + 32 if 65 <= byte <= 90 else byte)
+        elif part:
+            word = bytes(part)
+            found[word] += 1
+            found.update({(k, word[:k]) for k in toxicity.BEGINNINGS if len(word) > k})
+            part = bytearray()
+    return found
+
+
+def test_severity_like_a_plain_count(spark):
+    """Features, chosen lexicon, scores and grades against counters over whole texts."""
+    rng = random.Random(12)
+    bad, calm = ["vile", "vileness", "rotten", "scum"], ["tea", "garden", "river", "NÉ", "stone", "x9"]
+    texts = [" ".join(rng.choice(bad if rng.random() < (0.3 if i % 3 == 0 else 0.01) else calm) for _ in range(rng.randint(1, 40))) + "!" for i in range(300)]
+    texts += [None, "", "--"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)] + [(0, 7), (1, None)], "doc_id long, toxic int")
+    model = toxicity.train_severity_model(docs, labels)
+    plain = [_plain_features(t) for t in texts]
+    hashes = {}
+    for t, counter in zip(texts[:300], plain):
+        _, value, times, _ = toxicity.word_counts(pa.array([t]), None)
+        assert sorted(times.tolist()) == sorted(counter.values())
+    values = lambda word: set(toxicity.word_counts(pa.array([word.decode()]), None)[1].tolist())
+
+    def beginning(k, part):
+        """Hash of the beginning that two longer words have in common, beside shorter ones."""
+        return (values(part + b"zz") & values(part + b"yy")) - {v for j in toxicity.BEGINNINGS if j < k for v in beginning(j, part[:j])}
+
+    for word in {w for c in plain for w in c}:
+        if isinstance(word, bytes):
+            found = values(word) - {v for k in toxicity.BEGINNINGS if len(word) > k for v in beginning(k, word[:k])}
+        else:
+            found = beginning(*word)
+        assert len(found) == 1
+        hashes[word] = found.pop()
+    sides = [[c for i, c in enumerate(plain[:300]) if (i % 3 == 0) == side] for side in (True, False)]
+    n_bad, n_good = map(len, sides)
+    chosen = set()
+    for word, value in hashes.items():
+        b, g = (sum(word in c for c in side) for side in sides)
+        gain = 2 * sum(k * np.log(k / ((b + g) * n / 300)) for k, n in ((b, n_bad), (g, n_good)) if k)
+        if b + g >= 5 and b / n_bad > 3 * g / n_good and gain > 15:
+            chosen.add(value)
+    assert chosen == set(model.features.tolist()) and chosen
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    for r in toxicity.score_severity(docs, model).collect():
+        total = sum(np.log1p(k) * weight.get(hashes[w], 0.0) for w, k in plain[r.doc_id].items())
+        above = [1 / (1 + np.exp(t - total)) for t in model.thresholds] if plain[r.doc_id] else [0.0] * len(model.thresholds)
+        assert abs(r.severity - sum(above)) < 1e-9 and abs(r.p_toxic - above[0]) < 1e-9 and r.toxic == (above[0] >= 0.5)
+        steps = [1.0, *above, 0.0]
+        share = [a - b for a, b in zip(steps, steps[1:])]
+        assert share[r.grade] >= max(share) - 1e-12
+
+
+def test_severity_of_texts_not_learnt_from(spark):
+    """Trained on one half of the labels, judged on the other."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    mine = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 0
+    model = toxicity.train_severity_model(docs, labels.where(mine))
+    got = toxicity.score_severity(docs.select("doc_id", "text"), model).join(labels.where(~mine), "doc_id")
+    hit, toxic, false, clean = got.agg(
+        F.count_if((F.col("p_toxic") >= 0.5) & (labels["toxic"] == 1)),
+        F.count_if(labels["toxic"] == 1),
+        F.count_if((F.col("p_toxic") >= 0.5) & (labels["toxic"] == 0)),
+        F.count_if(labels["toxic"] == 0),
+    ).first()
+    assert toxic > 100 and hit >= 0.8 * toxic and false <= 0.01 * clean
+
+
 def test_ordinal_fit_orders_grades():
     rng = np.random.default_rng(0)
     amount = rng.integers(0, 9, 600)
