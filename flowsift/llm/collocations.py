@@ -338,7 +338,8 @@ def collocations(phrases: DataFrame, totals: DataFrame) -> DataFrame:
         joined(F.slice("w", F.lit(1), F.col("k"))).alias("left"),
         joined(F.slice("w", F.col("k") + 1, F.col("words") - F.col("k"))).alias("right"),
     )
-    side = lambda name, count: phrases.select("lang", F.col("phrase").alias(name), F.col("f").alias(count))
+    # phrases grow with the corpus: merge joins at every size, whatever their estimates say
+    side = lambda name, count: phrases.select("lang", F.col("phrase").alias(name), F.col("f").alias(count)).hint("merge")
     cuts = cuts.join(side("left", "l"), ["lang", "left"]).join(side("right", "r"), ["lang", "right"]).join(totals, "lang")
     # counts of up to 10^18 as decimals: the products stay exact beyond 64 bits
     exact = {c: F.col(c).cast("decimal(18,0)") for c in ("a", "n", "l", "r")}
@@ -352,7 +353,7 @@ def collocations(phrases: DataFrame, totals: DataFrame) -> DataFrame:
         "f",
     )
     wider = wider.groupBy("lang", "phrase").agg(F.max("f").alias("around"))
-    kept = best.join(wider, ["lang", "phrase"], "left").where("around is null or around < a")
+    kept = best.join(wider.hint("merge"), ["lang", "phrase"], "left").where("around is null or around < a")
     return kept.select("lang", "phrase", "words", "a", "cut.l", "cut.r", "n", "cut.score")
 
 

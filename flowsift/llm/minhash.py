@@ -230,7 +230,8 @@ def near_duplicates(
     * A null, empty or blank text has no shingles, is linked with nothing and kept.
     * A row without an id that repeats the set of a row with one is not kept; any other row without an id stays, with a
       null component.
-    * Repeated rows, also several texts under one id, are judged row by row; each comes back once.
+    * Repeated rows come back once each. Rows that share an id are one document to the others: what is linked with any of its
+      texts is in its component, and the rows are kept or not together.
     * Other columns are not read. An empty table gives an empty result.
 
     `slack`: a pair is confirmed exactly unless its signatures fall so many standard deviations below the threshold.

@@ -362,7 +362,8 @@ def _find(model: SkipChain):
 def find_personal_data(docs: DataFrame, model: SkipChain, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: `id_col` and `spans`, an array of (kind, start, end, added) by start and kind; code points, end exclusive.
 
-    Base matches are always there; `added` marks those of the field. Null and empty texts have none. Repeated rows and rows with a null
+    Base matches are always there; `added` marks those of the field, which ties mentions to observed ones: a document without a base
+    match has nothing to be tied to and gets no added span. Null and empty texts have none. Repeated rows and rows with a null
     id are scanned one by one; other columns are not read; an empty table gives an empty result.
     """
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
