@@ -20,7 +20,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.llm.arrays import _FOLD, mix, odd_numbers, pieces, string_buffers
@@ -357,6 +357,18 @@ def collocations(phrases: DataFrame, totals: DataFrame) -> DataFrame:
     return kept.select("lang", "phrase", "words", "a", "cut.l", "cut.r", "n", "cut.score")
 
 
+def strongest(scored: DataFrame, n: int, parts: int = 32) -> DataFrame:
+    """The first `n` phrases of each language by score, count and bytes of the phrase, with their `rank` from 1.
+
+    Each language is ranked in parts first, so the task that ranks it as a whole reads `parts` times `n` rows at most.
+    """
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(parts))
+    for keys in (["lang", part], ["lang"]):
+        scored = scored.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= n)
+    return scored
+
+
 def word_totals(docs: DataFrame, text_col: str = "text", lang: Column | None = None) -> DataFrame:
     """`lang` and `n`, all words of its texts; a null language is `und`."""
     lang = F.coalesce(lang if lang is not None else F.col("lang"), F.lit("und"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowsift.llm import langid, pii, secrets, toxicity
-from flowsift.llm.collocations import collocations, frequent_phrases, word_totals
+from flowsift.llm.collocations import collocations, frequent_phrases, strongest, word_totals
 from flowsift.llm.decontaminate import leaked_passages
 from flowsift.llm.merkle import merkle_manifest, row_digest
 from flowsift.llm.minhash import near_duplicates
@@ -101,8 +101,7 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = collocations(frequent_phrases(docs, longest=5, least=100), word_totals(docs))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).where("rank <= 2000")
+    ranked = strongest(scored, 2000)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 

@@ -17,6 +17,7 @@ import re
 import struct
 import zlib
 from collections.abc import Collection, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,11 @@ from flowsift.llm.arrays import pieces, string_buffers
 #: Bytes of text whose ids share a file.
 FILE_BYTES = 32 << 20
 #: Stretches whose ids a worker keeps, those met twice if they are too many. Longer ones are not kept.
-CACHE_WORDS, CACHE_LENGTH = 300_000, 48
+CACHE_WORDS, CACHE_LENGTH = 500_000, 48
 #: Stretches that are encoded as one text.
 JOINED = 200
-#: Bytes of text that are encoded together.
-SLICE_BYTES = 5 << 20
+#: Bytes of text that are encoded together, and rows that are handed to Python at once.
+SLICE_BYTES, BATCH_ROWS = 4 << 20, 1200
 
 # Numbers of the zstandard frame format and of its seekable format.
 SKIPPABLE, SEEK_TABLE, SEEKABLE, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -185,7 +186,7 @@ def _write(tokenizer_path: str, end_id: int):
     """Rows of one file: a frame per document, then index and seek table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, press = _tokenizer(tokenizer_path), zstandard.ZstdCompressor(level=3)
+        model, press = _tokenizer(tokenizer_path), zstandard.ZstdCompressor(level=1)
         kind = "<u2" if model.width == 2 else "<u4"
         keys, entries = [], []
         for batch in batches:
@@ -271,6 +272,19 @@ def _files(spark: SparkSession, path: str, names: Collection[str] | None = None)
     return files.where("length > 0").select(F.regexp_extract("path", "[^/]+$", 0).alias("name"), "content")
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand at most `rows` rows to Python at once while a job of the block runs; a smaller setting of the user's stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_token_files(
     docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 0
 ) -> None:
@@ -287,8 +301,9 @@ def write_token_files(
     placed = rows.repartitionByRange(files, "id", "tie", "spread").sortWithinPartitions("id", "tie", "spread")
     frames = placed.select("id", "text").mapInArrow(_write(tokenizer_path, end_id), "frame binary")
     sink = frames.select(F.col("frame").cast("string").alias("value")).write
-    sink.option("lineSep", SEPARATOR).option("compression", "none").option("maxRecordsPerFile", 0).text(path)
     spark = docs.sparkSession
+    with _batches_of(spark, BATCH_ROWS):
+        sink.option("lineSep", SEPARATOR).option("compression", "none").option("maxRecordsPerFile", 0).text(path)
     manifest = _files(spark, path).mapInArrow(_manifest, MANIFEST)
     before = F.sum("tokens").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # one row per file, as many as there are tasks
