@@ -117,6 +117,7 @@ def quality_by_file(
     df: DataFrame, label: str = "Label", file: str = "source_file", catalogue: LabelCatalogue = DEFAULT
 ) -> DataFrame:
     """Label quality per source file, worst first. Missing labels count as invalid here."""
+    # fixed values: the names of the report's columns
     sums = df.groupBy(c(file).alias("source_file")).agg(
         F.count(F.lit(1)).alias("total_filas"),
         F.count_if(catalogue.is_valid(c(label))).alias("labels_validos"),

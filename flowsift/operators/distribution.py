@@ -155,8 +155,11 @@ def density(df: DataFrame, name: str, grid: int = 1000, by: str | None = None, m
     cell = F.floor((F.col("_v") - F.col("_lo")) / (width / _CELLS))
     middle = F.col("_lo") + (F.col("_b") + 0.5) * (width / _CELLS)
     off = joined.withColumn("_b", cell).withColumn("_t", (F.col("_v") - middle) / width)
-    powers = [F.sum(F.pow("_t", F.lit(float(k)))).alias(f"_m{k}") for k in range(_MOMENTS)]
-    cells = off.groupBy(*[c(k) for k in keys], *shape, "_b").agg(*powers)
+    powers = [F.lit(1.0)]
+    for _ in range(1, _MOMENTS):
+        powers.append(powers[-1] * F.col("_t"))
+    moments = [F.sum(x).alias(f"_m{k}") for k, x in enumerate(powers)]
+    cells = off.groupBy(*[c(k) for k in keys], *shape, "_b").agg(*moments)
     span = F.col("_hi") - F.col("_lo")
     step = span * 2 / (grid - 1)
     start = F.col("_lo") - span * 0.5

@@ -57,7 +57,7 @@ KNOWN_VARIANTS = {
     "DOS attacks-Slowloris": "DoS attacks-Slowloris",
 }
 
-# The repair steps in their order.
+# The repair steps in their order.
 REPAIR_STEPS = ("initial", "trim", "collapse", "strip_control", "case", "variant", "separator")
 
 VALID, INVALID, MISSING = "valid", "invalid", "missing"

@@ -170,6 +170,7 @@ def fit_and_judge(
 
 
 def leaderboard(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
+    # fixed values: the names of the ranking's columns
     frame = spark.createDataFrame(list(rows), "modelo string, accuracy double, f1 double, tiempo_s double")
     return frame.orderBy(F.desc("f1"))
 

@@ -9,7 +9,6 @@ from oracle import compare, connect
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 WITH_SQL = [name for name, q in REGISTRY.items() if q.sql]
-SLOW = {"ml_gbt_tune", "ml_learning_curve", "ml_roc_of_margins", "ml_leaderboard"}
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +21,6 @@ def test_same_as_sql(spark, con, name):
     assert compare(spark, con, REGISTRY[name], FOLDER) is None
 
 
-@pytest.mark.parametrize("name", [n for n, q in REGISTRY.items() if not q.sql and n not in SLOW])
+@pytest.mark.parametrize("name", [n for n, q in REGISTRY.items() if not q.sql])
 def test_gives_rows(spark, name):
     assert REGISTRY[name].run(spark, FOLDER).count() > 0
