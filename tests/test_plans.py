@@ -26,3 +26,23 @@ def test_trim_bounds_reach_the_scan(spark):
     df = trim(spark.read.parquet(f"{FOLDER}/lineitem.parquet"), "l_extendedprice", 0.01, 0.99)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(l_extendedprice" in plan
+
+
+@pytest.mark.parametrize(
+    "name, scans, shuffles",
+    [
+        ("audit_nulls", 1, 0),
+        ("audit_duplicates", 1, 1),
+        ("label_recovery_log", 1, 0),
+        ("label_normalize", 1, 0),
+        ("split_stratified", 1, 1),
+        ("clean_silver", 1, 1),
+        ("corr_matrix", 1, 1),
+        ("sample_fixed_n", 1, 1),
+        ("sample_stratified_cap", 1, 2),
+    ],
+)
+def test_one_scan_and_few_shuffles(spark, name, scans, shuffles):
+    """Scans and shuffles by key of the plan as it is handed to adaptive execution."""
+    plan = REGISTRY[name].run(spark, FOLDER)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert (plan.count("FileScan"), plan.count("Exchange hashpartitioning")) == (scans, shuffles)
