@@ -27,6 +27,8 @@ from flowsift.llm.arrays import mix, odd_numbers, pieces, string_buffers
 from flowsift.session import materialize
 
 BLOCK_BYTES = 2 << 20
+#: Bytes of text that are looked at together; each takes some forty bytes of arrays meanwhile.
+SLICE_BYTES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -399,7 +401,7 @@ class _Benchmark:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for piece in pieces(batch, text_col):
+                for piece in pieces(batch, text_col, SLICE_BYTES):
                     yield piece.filter(pa.array(sent.value.passes(*string_buffers(piece.column(text_col)))))
 
         return materialize(docs.mapInArrow(run, docs.schema), "candidates")
@@ -449,7 +451,7 @@ def _find(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", SLICE_BYTES):
                 data, offs = string_buffers(piece.column("text"))
                 ids, rows = piece.column("id").to_pylist(), []
                 starts = None
@@ -467,7 +469,7 @@ def _drop(sent, text_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = sent.value
         for batch in batches:
-            for piece in pieces(batch, text_col):
+            for piece in pieces(batch, text_col, SLICE_BYTES):
                 clean = np.ones(piece.num_rows, dtype=bool)
                 clean[[r[0] for r in regions(index, *string_buffers(piece.column(text_col)))]] = False
                 yield piece.filter(pa.array(clean))
