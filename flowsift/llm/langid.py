@@ -307,9 +307,12 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text", keep:
     return source.mapInArrow(_predict(net), f"{fields}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, net: Network | None, least: float, text_col: str = "text") -> DataFrame:
-    """Rows of `docs`, all their columns, whose text has a language: not `und`, not the reject class, and a score of `least` or more.
+def keep_identified(docs: DataFrame, net: Network | None, least: float, text_col: str = "text", strange: float = 0.75) -> DataFrame:
+    """Rows of `docs`, all their columns, whose text has a language.
 
+    Texts without a letter go, those whose mean probability of the reject class (if the network has one) is `strange` or more, and
+    those whose best language has less than `least` of what is left for languages. A short text of a learnt language may look
+    strange at many of its few bytes, so `strange` is far above one half.
     Null and empty texts go; repeated rows and rows with null ids are judged one by one; an empty table gives an empty result.
     Without a model nothing can be told, which is an error and no empty result.
     """
@@ -322,7 +325,8 @@ def keep_identified(docs: DataFrame, net: Network | None, least: float, text_col
             for piece in pieces(batch, text_col):
                 data, offs = string_buffers(piece.column(text_col))
                 p = document_probabilities(net, data, offs)
-                sound = (p.max(axis=1) >= least) & ~reject[p.argmax(axis=1)]
+                odd, named = p[:, reject].sum(axis=1), p[:, ~reject]
+                sound = (odd < strange) & (named.max(axis=1) >= least * named.sum(axis=1))
                 yield piece.filter(pa.array(sound & has_letter(piece.column(text_col), data, offs)))
 
     return short_batches(docs).mapInArrow(run, docs.schema)
