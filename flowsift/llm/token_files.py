@@ -15,7 +15,6 @@ from __future__ import annotations
 import os
 import re
 import struct
-import zlib
 from collections.abc import Collection, Iterator
 from contextlib import contextmanager
 
