@@ -15,8 +15,9 @@ from __future__ import annotations
 import os
 import re
 import struct
-from collections.abc import Collection, Iterator
+from collections.abc import Collection, Iterable, Iterator
 from contextlib import contextmanager
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,11 @@ from flowsift.llm.arrays import pieces, string_buffers
 #: Bytes of text whose ids share a file.
 FILE_BYTES = 32 << 20
 #: Stretches whose ids a worker keeps, those met twice if they are too many. Longer ones are not kept.
-CACHE_WORDS, CACHE_LENGTH = 500_000, 48
+CACHE_WORDS, CACHE_LENGTH = 250_000, 48
 #: Stretches that are encoded as one text.
 JOINED = 200
 #: Bytes of text that are encoded together, and rows that are handed to Python at once.
-SLICE_BYTES, BATCH_ROWS = 4 << 20, 1200
+SLICE_BYTES, BATCH_ROWS = 3 << 20, 1000
 
 # Numbers of the zstandard frame format and of its seekable format.
 SKIPPABLE, SEEK_TABLE, SEEKABLE, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -66,7 +67,7 @@ class BlankTokenizer:
         self.opens = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         # fixed values: the characters that stand for a blank and a line feed in byte-level vocabularies
         self.opens[[i for t, i in vocabulary.items() if t.startswith(("Ġ", "Ċ"))]] = True
-        self._reset([], np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        self.clear()
 
     def _reset(self, words: list[bytes], size: np.ndarray, ids: np.ndarray) -> None:
         self.known: dict[bytes, int] = dict(zip(words, range(len(words))))
@@ -91,22 +92,29 @@ class BlankTokenizer:
         ends = np.concatenate(([0], np.cumsum(size)))
         return ids[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])], ends
 
+    def _rows(self, texts: Iterable[str], at_once: int) -> Iterator[np.ndarray]:
+        """Ids of each text; `at_once` at a time, since the library's results are many times larger than the ids."""
+        for some in iter(lambda it=iter(texts): list(islice(it, at_once)), []):
+            for found in self.model.encode_batch_fast(some, add_special_tokens=False):
+                yield np.array(found.ids, np.uint32)
+
+    def clear(self) -> None:
+        """Forget all stretches, as a task does at its end: the next job in this worker may need the memory."""
+        self._reset([], np.zeros(0, np.int64), np.zeros(0, np.uint32))
+
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words in their order, number of each word's ids)."""
         plain = [i for i, w in enumerate(words) if _PLAIN(w)]
         groups = [plain[a : a + JOINED] for a in range(0, len(plain), JOINED)]
-        joined = self.model.encode_batch_fast([b"".join([words[i] for i in g]).decode("utf-8", "replace") for g in groups], add_special_tokens=False)
         order, parts, sizes = [], [], []
-        for group, line in zip(groups, joined):
-            ids = np.array(line.ids, np.uint32)
+        for group, ids in zip(groups, self._rows(("".join([words[i].decode("utf-8", "replace") for i in g]) for g in groups), 50)):
             first = np.flatnonzero(self.opens[ids])
             if len(first) == len(group) and first[0] == 0:
                 order.extend(group)
                 parts.append(ids)
                 sizes.append(np.diff(first, append=len(ids)))
         left = sorted(set(range(len(words))) - set(order))
-        texts = [words[i].decode("utf-8", "replace") for i in left]
-        rows = [np.array(e.ids, np.uint32) for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+        rows = list(self._rows((words[i].decode("utf-8", "replace") for i in left), 5000))
         order = np.array(order + left, np.int64)
         flat = np.concatenate([*parts, *rows, np.zeros(0, np.uint32)])
         size = np.concatenate([*sizes, np.array([len(r) for r in rows], np.int64)]).astype(np.int64)
@@ -199,6 +207,7 @@ def _write(tokenizer_path: str, end_id: int):
                     entries.append((len(frame) + len(_GAP) + len(SEPARATOR.encode()), len(raw), _checksum(raw)))
                 keys.append(piece.column("id"))
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["frame"])
+        model.clear()
         if not entries:
             return
         ids = pa.chunked_array(keys)
