@@ -87,12 +87,13 @@ def rf_importance(
     if share < 1:
         df = df.filter(fast_uniform(seed, row_key(df)) < share)
     packer = VectorAssembler(inputCols=list(names), outputCol="_features", handleInvalid="skip")
-    packed = store_for_fit(packer.transform(df.select(*[c(n) for n in names], c(label))).select("_features", c(label)), "importance")
+    rows = packer.transform(df.select(*[c(n) for n in names], c(label))).select("_features", c(label))
+    packed = store_for_fit(rows, "importance", trees=trees, width=len(names))
     model = sized_forest(packed, label, "_features", numTrees=trees, maxDepth=depth, seed=seed, maxBins=max_bins).fit(packed)
     weights = model.featureImportances.toArray()
     order = sorted(range(len(names)), key=lambda i: (-weights[i], names[i]))
-    rows = [(rank + 1, names[i], float(weights[i])) for rank, i in enumerate(order)]
-    return df.sparkSession.createDataFrame(rows, "rank int, feature string, importance double")
+    ranked = [(rank + 1, names[i], float(weights[i])) for rank, i in enumerate(order)]
+    return df.sparkSession.createDataFrame(ranked, "rank int, feature string, importance double")
 
 
 def _components(df: DataFrame, names: Sequence[str]) -> tuple[DataFrame, np.ndarray, np.ndarray, dict]:

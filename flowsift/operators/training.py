@@ -12,12 +12,14 @@ import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import FIRST_EXCEPTION, CancelledError, ThreadPoolExecutor, wait
+from functools import reduce
 from itertools import product
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import GBTClassifier, OneVsRest, OneVsRestModel, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,21 +37,51 @@ VOLUMES = (0.10, 0.25, 0.50, 0.75, 1.0)
 
 #: Rows that a task of a fit should have at least, and at most.
 FIT_TASK_ROWS = (10_000, 4_000_000)
+#: Bytes of points that a task of a fit should read at most in one pass.
+FIT_TASK_BYTES = 128 * 2**20
 #: Fits of a grid that run at the same time.
 GRID_FITS = 2
 
 
-def store_for_fit(df: DataFrame, name: str = "fit", tasks: int | None = None) -> DataFrame:
+def point_bytes(n_features: int, trees: int) -> int:
+    """Bytes of a row as a fit keeps it in memory: a bin per feature, a count of draws per tree, and the objects around them."""
+    return 104 + 4 * (n_features + trees)
+
+
+def fit_parts(rows: int, cores: int, each: int) -> int:
+    """Parts for a table of `rows`: one for each core unless they would be too short, or too long in rows or (`each` a row) in bytes."""
+    least, most = FIT_TASK_ROWS
+    most = max(1, min(most, FIT_TASK_BYTES // each))
+    return max(1, min(cores, -(-rows // least)), -(-rows // most))
+
+
+def _width(df: DataFrame) -> int:
+    """Features of a row: the length of its vectors, seen on the first one."""
+    vectors = [f.name for f in df.schema if isinstance(f.dataType, VectorUDT)]
+    row = df.select(*[c(v) for v in vectors]).first() if vectors else None
+    return sum(len(v) for v in row if v is not None) if row else 0
+
+
+def store_for_fit(
+    df: DataFrame, name: str = "fit", tasks: int | None = None, trees: int = max(RF_GRID["numTrees"]), width: int | None = None
+) -> DataFrame:
     """`df` written in parts of equal size, one for each core (or `tasks`) unless they would be too short or too long.
 
     Every level of every tree is one pass over the table, and a pass takes as long as its longest task: a table that a few
-    large files hold leaves cores idle in each of them.
+    large files hold leaves cores idle in each of them. What a task reads in a pass are points, whose size follows the features
+    (`width`, else that of the first row) and the `trees` of a fit. More parts than cores are written in groups of one a core at
+    most: read at once, small files would be put together into one task again.
     """
-    rows = df.count()
-    least, most = FIT_TASK_ROWS
-    wanted = tasks or df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(wanted, -(-rows // least)), -(-rows // most))
-    return materialize(df.repartition(parts), name)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    each = point_bytes(_width(df) if width is None else width, trees)
+    parts = fit_parts(df.count(), tasks or cores, each)
+    dealt, groups = df.repartition(parts), -(-parts // cores)
+    if groups == 1:
+        return materialize(dealt, name)
+    stored = materialize(dealt.withColumn("_fit_group", F.spark_partition_id() % groups), name, ("_fit_group",))
+    table = reduce(DataFrame.unionAll, [stored.filter(F.col("_fit_group") == g).drop("_fit_group") for g in range(groups)])
+    table.temporary_folder = stored.temporary_folder
+    return table
 
 
 def node_bytes(n_features: int, n_classes: int, bins: int, subset: str = "auto", trees: int = 2) -> int:

@@ -9,7 +9,11 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from flowsift.functions.hashing import fast_uniform
-from flowsift.operators import training
+from flowsift.operators import features, training
+from flowsift.queries import REGISTRY
+from flowsift.session import temporary_tables
+
+FOLDER = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
@@ -114,3 +118,47 @@ def test_learning_curve(rows):
     makers = {"rf": lambda: training.random_forest(numTrees=3, maxDepth=3)}
     curve = training.learning_curve(rows, rows, fast_uniform(4, "id"), makers, (0.2, 1.0)).collect()
     assert [r["frac"] for r in curve] == [0.2, 1.0] and curve[1]["n"] == 4000 and curve[0]["n"] < 1000
+
+
+def longest_part(df):
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def sides_of(monkeypatch, module, limit, n_features, trees):
+    """The sides that `module` stores from now on, under a limit of `limit` points of that size a task."""
+    monkeypatch.setattr(training, "FIT_TASK_ROWS", (10, 4_000_000))
+    monkeypatch.setattr(training, "FIT_TASK_BYTES", limit * training.point_bytes(n_features, trees))
+    sides, store = [], training.store_for_fit
+
+    def watched(*args, **kwargs):
+        sides.append(store(*args, **kwargs))
+        return sides[-1]
+
+    monkeypatch.setattr(module, "store_for_fit", watched)
+    return sides
+
+
+def test_parts_of_a_long_side_are_read_apart(spark, monkeypatch):
+    monkeypatch.setattr(training, "FIT_TASK_ROWS", (100, 300))
+    stored = training.store_for_fit(spark.range(0, 5000, 1, 1))  # 17 files, which the reader would put into 8 tasks
+    assert longest_part(stored) <= 300 and stored.columns == ["id"]
+    assert sorted(r["id"] for r in stored.collect()) == list(range(5000))
+    with temporary_tables(spark) as scope:
+        stored = training.store_for_fit(spark.range(5000))
+        scope.drop(stored)
+        assert not scope.folders
+
+
+def test_parts_follow_the_size_of_points():
+    assert training.fit_parts(600_000, 8, training.point_bytes(7, 30)) == 8  # short tables: one part a core, as before
+    for trees in (1, 30, 200):
+        each = training.point_bytes(45, trees)
+        parts = training.fit_parts(216_000_000, 12, each)
+        assert 216_000_000 / parts * each <= 128 * 2**20 and parts > 54
+
+
+def test_ranking_reads_bounded_parts(spark, monkeypatch):
+    sides = sides_of(monkeypatch, features, 400, 7, 30)
+    assert REGISTRY["feat_rf_importance"].run(spark, FOLDER).count() == 7
+    (side,) = sides
+    assert side.count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count() and longest_part(side) <= 400
