@@ -162,3 +162,10 @@ def test_ranking_reads_bounded_parts(spark, monkeypatch):
     assert REGISTRY["feat_rf_importance"].run(spark, FOLDER).count() == 7
     (side,) = sides
     assert side.count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count() and longest_part(side) <= 400
+
+
+def test_method_table_reads_bounded_parts(spark, monkeypatch):
+    sides = sides_of(monkeypatch, features, 500, 6, 5)
+    assert REGISTRY["feat_method_table_full"].run(spark, FOLDER).filter("rf_rank is not null").count() == 6
+    (side,) = sides
+    assert side.count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count() and longest_part(side) <= 500
