@@ -59,7 +59,7 @@ at_leaf AS ({_moved_sql("at_third", "third")})
 def _tree(spark, folder):
     """(rows with keys, a fitted tree of depth 3 over all of them)."""
     rows = features.assemble(features.label_index(feat(spark, folder), "rarity"), NAMES).select(*KEYS, "label_index", "features")
-    stored = training.store_for_fit(rows, "tree")
+    stored = training.store_for_fit(rows, "tree", trees=1, width=len(NAMES))
     forest = training.sized_forest(stored, numTrees=1, maxDepth=3, maxBins=64, featureSubsetStrategy="all", bootstrap=False)
     return stored, forest.fit(stored)
 

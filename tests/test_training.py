@@ -12,6 +12,7 @@ from flowsift.functions.hashing import fast_uniform
 from flowsift.operators import features, training
 from flowsift.queries import REGISTRY
 from flowsift.session import temporary_tables
+from oracle import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -169,3 +170,11 @@ def test_method_table_reads_bounded_parts(spark, monkeypatch):
     assert REGISTRY["feat_method_table_full"].run(spark, FOLDER).filter("rf_rank is not null").count() == 6
     (side,) = sides
     assert side.count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count() and longest_part(side) <= 500
+
+
+@pytest.mark.parametrize("name", ["feat_tree_importance"])
+def test_trees_over_many_parts_equal_sql(spark, monkeypatch, name):
+    sides = sides_of(monkeypatch, training, 450, 5, 1)
+    assert compare(spark, connect(FOLDER), REGISTRY[name], FOLDER) is None
+    (side,) = sides
+    assert side.rdd.getNumPartitions() > 8 and 300 < longest_part(side) <= 450
