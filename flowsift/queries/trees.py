@@ -125,7 +125,7 @@ def feat_tree_importance(spark, folder):
 def ml_boosted_stumps(spark, folder):
     """Margins of one-vs-rest boosted models of one stump each: the first step of boosting, for every class and row."""
     rows = features.assemble(features.label_index(feat(spark, folder), "rarity"), NAMES).select(*KEYS, "label_index", "features")
-    stored = training.store_for_fit(rows, "stumps")
+    stored = training.store_for_fit(rows, "stumps", trees=1, width=len(NAMES))
     booster = GBTClassifier(labelCol="label_index", featuresCol="features", maxIter=1, maxDepth=1, maxBins=64, seed=42)
     model = OneVsRest(classifier=booster, labelCol="label_index", featuresCol="features", parallelism=3).fit(stored)
     margins = [F.get("scores", F.lit(k)).alias(f"m{k}") for k in range(3)]

@@ -172,7 +172,7 @@ def test_method_table_reads_bounded_parts(spark, monkeypatch):
     assert side.count() == spark.read.parquet(f"{FOLDER}/lineitem.parquet").count() and longest_part(side) <= 500
 
 
-@pytest.mark.parametrize("name", ["feat_tree_importance", "ml_tree_predict"])
+@pytest.mark.parametrize("name", ["feat_tree_importance", "ml_tree_predict", "ml_boosted_stumps"])
 def test_trees_over_many_parts_equal_sql(spark, monkeypatch, name):
     sides = sides_of(monkeypatch, training, 450, 5, 1)
     assert compare(spark, connect(FOLDER), REGISTRY[name], FOLDER) is None
