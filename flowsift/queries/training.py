@@ -26,7 +26,7 @@ def _vectors(spark, folder):
 
 def _stored(spark, folder):
     train, test = _vectors(spark, folder)
-    return store_for_fit(train, "train"), materialize(test, "test")
+    return store_for_fit(train, "train", trees=FOREST["numTrees"]), materialize(test, "test")
 
 
 @query("ml_rf_predict")
@@ -130,7 +130,7 @@ def ml_learning_curve(spark, folder):
         "rf": lambda: training.random_forest(numTrees=5, maxDepth=4),
         "gbt": lambda: training.gbt_one_vs_rest(parallelism=8, maxIter=1, maxDepth=2),
     }
-    return training.learning_curve(train, test, fast_uniform(9, "vec_id"), makers)
+    return training.learning_curve(train, test, fast_uniform(9, "vec_id"), makers, trees=5)
 
 
 @query("ml_roc_of_margins")

@@ -178,3 +178,18 @@ def test_trees_over_many_parts_equal_sql(spark, monkeypatch, name):
     assert compare(spark, connect(FOLDER), REGISTRY[name], FOLDER) is None
     (side,) = sides
     assert side.rdd.getNumPartitions() > 8 and 300 < longest_part(side) <= 450
+
+
+def test_long_shares_are_read_apart(spark, monkeypatch, rows):
+    monkeypatch.setattr(training, "FIT_TASK_ROWS", (10, 130))
+    u = fast_uniform(4, "id")
+    for fraction, part in zip((0.5, 1.0), training.nested_shares(rows, (0.5, 1.0), u)):
+        assert sorted(part.collect()) == sorted(rows.filter(u < fraction).collect())
+        assert longest_part(part) <= 200  # dealt by a hash: about 130
+
+
+def test_grid_fits_read_bounded_parts(spark, monkeypatch, rows):
+    sides = sides_of(monkeypatch, training, 100, 4, 6)
+    training.tune_forest(rows, fast_uniform(1, "id"), grid={"numTrees": (3, 6), "maxDepth": (2,)})
+    training.tune_gbt(rows, fast_uniform(1, "id"), grid={"maxIter": (1,), "maxDepth": (2,), "stepSize": (0.1,)})
+    assert len(sides) == 3 and all(0 < longest_part(side) <= 120 for side in sides)
